@@ -1,0 +1,29 @@
+"""Connected components of a distributed edge list."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from almanac.llm.store import checkpoint
+
+
+def components(edges: DataFrame) -> DataFrame:
+    """(node, label) for each node of the edges (a, b); the label is the smallest node reachable.
+
+    Minimum labels spread along the edges and are shortened by following each
+    label's own label, so long chains take few rounds. Every round sums by key
+    before its shuffle and is checkpointed; nothing but the count of changed
+    labels comes to the driver.
+    """
+    both = checkpoint(edges.select("a", "b").union(edges.select("b", "a")).distinct())
+    labels = checkpoint(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select("node", F.least("node", "m").alias("label")))
+    while True:
+        low = both.join(labels, both["b"] == labels["node"]).groupBy("a").agg(F.min("label").alias("m"))
+        step = labels.join(low, labels["node"] == low["a"]).select("node", F.col("label").alias("old"), F.least("label", "m").alias("label"))
+        jump = labels.select(F.col("node").alias("via"), F.col("label").alias("further"))
+        step = step.join(jump, step["label"] == jump["via"], "left").select("node", "old", F.least("label", F.coalesce("further", "label")).alias("label"))
+        step = checkpoint(step)
+        labels = step.select("node", "label")
+        if step.where("old != label").isEmpty():
+            return labels
