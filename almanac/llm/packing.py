@@ -16,6 +16,7 @@ end id alone; repeated rows are packed each; an empty table gives no rows.
 from __future__ import annotations
 
 import heapq
+import os
 import zlib
 from collections.abc import Iterator
 
@@ -28,51 +29,125 @@ from almanac.llm import textnp as tn
 
 CAPACITY = 4096
 END_ID = 2
-GROUP_WINDOWS = 256
-#: Distinct words whose ids a task remembers.
-CACHE_WORDS = 400_000
+GROUP_WINDOWS = 128
+#: Distinct units whose ids a task remembers.
+CACHE_WORDS = 1_500_000
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
-class WordTokens:
-    """Ids of texts for a vocabulary whose words never hold white space.
+#: Classes of bytes: white space, letters, digits, other ASCII, and the rest.
+_SPACE, _LETTER, _DIGIT, _OTHER, _HARD = range(5)
+_CLASS = np.full(256, _HARD, np.uint8)
+_CLASS[0x21:0x7F] = _OTHER
+_CLASS[[0x20, *range(0x09, 0x0E)]] = _SPACE
+_CLASS[ord("a") : ord("z") + 1] = _LETTER
+_CLASS[ord("0") : ord("9") + 1] = _DIGIT
+_CLASS[ord("'")] = _HARD  # contractions
+_CLASS[ord("<")] = _HARD  # special tokens
+
 
-    The tokenizer drops ASCII white space, and neither its normalizer nor its
-    splitter looks across it; so the ids of a text are those of its words, one
-    after another. Each distinct word of a batch is encoded once.
+class WordTokens:
+    """Ids of texts for a lower-case vocabulary whose words never hold white space.
+
+    The tokenizer drops white space, and neither its normalizer nor its splitter
+    looks across ASCII white space; nor does it join letters, single digits and
+    other characters. So the ids of a text are those of such units, one after
+    another, and each distinct unit is encoded once. Letters are a-z and those
+    of U+00C0 to U+00FF; a word with an apostrophe, a ``<`` or anything else is
+    one unit as it stands, and the tokenizer gets it alone.
     """
 
     def __init__(self, path: str) -> None:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.seen: dict[int, np.ndarray] = {}
+        names = self.tokenizer.get_vocab(with_added_tokens=False)
+        self._last = np.zeros(max(names.values()) + 1, dtype=bool)  # tokens that end a unit
+        self._last[[i for name, i in names.items() if name.endswith("</w>")]] = True
+        self._known = np.zeros(0, np.uint64)  # sorted hashes of units, where their ids begin, and how many
+        self._begin = self._size = np.zeros(0, np.int64)
+        self._ids = np.zeros(0, np.uint32)
+
+    @staticmethod
+    def _units(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Lower-cased bytes; starts and ends of units; the first of each document; which are hard."""
+        low = tn.LOWER[buf]
+        kind = _CLASS[low]
+        lead = np.flatnonzero(low[:-1] == 0xC3) if len(low) else np.zeros(0, np.int64)
+        tail = low[lead + 1]
+        fine = (tail != 0x97) & (tail != 0xB7)  # signs, not letters
+        lead, tail = lead[fine], tail[fine]
+        kind[lead] = kind[lead + 1] = _LETTER
+        low[lead + 1] = np.where(tail < 0x9F, tail + 0x20, tail)
+        s, e, _ = tn.spans(buf, off, tn.NONSPACE)
+        hard = np.flatnonzero(kind == _HARD)
+        of = np.searchsorted(s, hard, side="right") - 1
+        word = np.unique(of)
+        new = np.ones(len(low) + 1, dtype=bool)
+        new[1:-1] = (kind[1:] != kind[:-1]) | (kind[1:] == _DIGIT)
+        new[s] = True
+        for a, b in zip(s[word].tolist(), e[word].tolist(), strict=True):
+            new[a + 1 : b] = False
+            low[a:b] = buf[a:b]
+        us = np.flatnonzero(new[:-1] & (kind != _SPACE))
+        nxt = np.flatnonzero(new)
+        ue = nxt[np.searchsorted(nxt, us, side="right")]
+        is_hard = np.zeros(len(us), dtype=bool)
+        is_hard[np.searchsorted(us, s[word])] = True
+        return low, us, ue, np.searchsorted(us, off), is_hard
+
+    def _encode_units(self, units: list[bytes], hard: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the units, one after another, and the number of each one's ids."""
+        easy = np.flatnonzero(~hard).tolist()
+        texts = [b" ".join([units[i] for i in easy[a : a + 64]]).decode() for a in range(0, len(easy), 64)]
+        flat = np.concatenate([np.zeros(0, np.uint32), *(np.array(x.ids, np.uint32) for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False))])
+        size = np.zeros(len(units), np.int64)
+        size[easy] = np.diff(np.flatnonzero(self._last[flat]), prepend=-1)
+        own = {i: self.tokenizer.encode(units[i].decode(), add_special_tokens=False).ids for i in np.flatnonzero(hard).tolist()}
+        for i, ids in own.items():
+            size[i] = len(ids)
+        at = np.concatenate(([0], np.cumsum(size)))
+        out = np.zeros(at[-1], np.uint32)
+        body = np.repeat(~hard, size)
+        out[body] = flat
+        for i, ids in own.items():
+            out[at[i] : at[i + 1]] = ids
+        return out, size
 
     def encode(self, buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all documents, each with the end id, and their offsets."""
-        s, e, first = tn.spans(buf, off, tn.NONSPACE)
         docs = len(off) - 1
-        if not len(s):
+        if not len(buf):
             return np.full(docs, END_ID, np.uint32), np.arange(docs + 1)
+        buf, s, e, first, hard = self._units(buf, off)
         keys, at, of = np.unique(tn.span_hash(buf, s, e), return_index=True, return_inverse=True)
-        raw, names = buf.tobytes(), keys.tolist()
-        new = [i for i, k in enumerate(names) if k not in self.seen]
-        if len(self.seen) + len(new) > CACHE_WORDS:
-            self.seen.clear()
-            new = list(range(len(names)))
-        words = [raw[s[at[i]] : e[at[i]]].decode() for i in new]
-        for a in range(0, len(words), 20_000):
-            for i, x in zip(new[a : a + 20_000], self.tokenizer.encode_batch_fast(words[a : a + 20_000], add_special_tokens=False), strict=True):
-                self.seen[names[i]] = np.array(x.ids, np.uint32)
-        ids = [self.seen[k] for k in names]
-        size = np.array([len(x) for x in ids])
-        flat, begin = np.concatenate([*ids, np.zeros(0, np.uint32)]), np.concatenate(([0], np.cumsum(size)))
-        n = size[of]
+        place = np.searchsorted(self._known, keys)
+        place[place == len(self._known)] = 0
+        new = self._known[place] != keys if len(self._known) else np.ones(len(keys), dtype=bool)
+        if len(self._known) + new.sum() > CACHE_WORDS:
+            self._known, self._begin, self._size, self._ids = self._known[:0], self._begin[:0], self._size[:0], self._ids[:0]
+            new[:] = True
+        if new.any():
+            raw = buf.tobytes()
+            units = [raw[x:y] for x, y in zip(s[at[new]].tolist(), e[at[new]].tolist(), strict=True)]
+            flat, size = self._encode_units(units, hard[at[new]])
+            begin = len(self._ids) + np.cumsum(size) - size
+            where = np.searchsorted(self._known, keys[new])
+            self._known = np.insert(self._known, where, keys[new])
+            self._begin, self._size = np.insert(self._begin, where, begin), np.insert(self._size, where, size)
+            self._ids = np.concatenate((self._ids, flat))
+        place = np.searchsorted(self._known, keys)
+        n = self._size[place][of]
         to = np.concatenate(([0], np.cumsum(n)))
-        where = np.repeat(begin[of] - to[:-1], n) + np.arange(to[-1])
+        where = np.repeat(self._begin[place][of] - to[:-1], n) + np.arange(to[-1])
         ends = to[first[1:]]
-        out = np.insert(flat[where].astype(np.uint32), ends, END_ID)
-        return out, np.concatenate(([0], ends + np.arange(1, docs + 1)))
+        out = np.full(to[-1] + docs, END_ID, np.uint32)
+        body = np.ones(len(out), dtype=bool)
+        last = ends + np.arange(docs)
+        body[last] = False
+        out[body] = self._ids[where]
+        return out, np.concatenate(([0], last + 1))
 
 
 def difference(sizes: list[int], parts: int) -> np.ndarray:
