@@ -87,7 +87,7 @@ def send(batch: int, bits: int, keys: np.ndarray, *more: np.ndarray) -> pa.Table
     return pa.table({"bucket": pa.array(full, pa.int32()), "batch": pa.array(np.full(len(full), batch, np.int64)), "names": pa.array(blobs, pa.binary())})
 
 
-def _gather(table: pa.Table) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
+def gather(table: pa.Table) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
     """All names of a bucket in order, what goes with them, and the row of each."""
     rows = [decode(b.as_buffer().to_pybytes()) for b in table.column("names")]
     of = np.repeat(np.arange(len(rows)), [len(r[0]) for r in rows])
@@ -95,7 +95,7 @@ def _gather(table: pa.Table) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
     return keys[order], [np.concatenate([r[k] for r in rows])[order] for k in range(1, len(rows[0]))], of[order]
 
 
-def _reply(table: pa.Table, of: np.ndarray, chosen: np.ndarray, keys: np.ndarray, *more: np.ndarray) -> pa.Table:
+def reply(table: pa.Table, of: np.ndarray, chosen: np.ndarray, keys: np.ndarray, *more: np.ndarray) -> pa.Table:
     at = np.flatnonzero(chosen)
     at = at[np.argsort(of[at], kind="stable")]
     rows, begin = np.unique(of[at], return_index=True)
@@ -118,16 +118,19 @@ def starts(*keys: np.ndarray) -> np.ndarray:
 def shared(sent: DataFrame) -> DataFrame:
     """Back to each batch: its names that another batch also sent.
 
-    Names that a batch knows to be repeated within itself carry a 1.
+    With each name goes a check (or none), and a 1 if the batch itself holds
+    the name repeatedly.
     """
 
     def run(table: pa.Table) -> pa.Table:
-        keys, (multi,), of = _gather(table)
-        new = starts(keys)
-        begin = np.flatnonzero(new)
+        keys, (*check, multi), of = gather(table)
+        if check:
+            order = np.lexsort((check[0], keys))
+            keys, check, multi, of = keys[order], [check[0][order]], multi[order], of[order]
+        begin = np.flatnonzero(starts(keys, *check))
         count = np.diff(np.append(begin, len(keys)))
         many = (count > 1) | (np.add.reduceat(multi, begin) > 0)
-        return _reply(table, of, np.repeat(many, count), keys)
+        return reply(table, of, np.repeat(many, count), keys, *check)
 
     return sent.groupBy("bucket").applyInArrow(run, GOT)
 
@@ -136,12 +139,12 @@ def smallest(sent: DataFrame) -> DataFrame:
     """Back to each batch: its (name, check) with the smallest value of all batches, where that is smaller than its own."""
 
     def run(table: pa.Table) -> pa.Table:
-        keys, (check, value), of = _gather(table)
+        keys, (check, value), of = gather(table)
         order = np.lexsort((check, keys))
         keys, check, value, of = keys[order], check[order], value[order], of[order]
         begin = np.flatnonzero(starts(keys, check))
         low = np.repeat(np.minimum.reduceat(value, begin), np.diff(np.append(begin, len(keys))))
-        return _reply(table, of, low < value, keys, check, low)
+        return reply(table, of, low < value, keys, check, low)
 
     return sent.groupBy("bucket").applyInArrow(run, GOT)
 

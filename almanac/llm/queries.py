@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from almanac.llm import decontaminate, line_dedup, near_dup, packing, quality, substring_dedup
+from almanac.llm import decontaminate, line_dedup, near_dup, packing, quality, substring_dedup, suffix_dedup
 
 QUERIES = {
     "op2_packing": packing.op2,
     "op3_decontaminate": decontaminate.op3,
     "op4_substring_dedup": substring_dedup.op4,
+    "op5_suffix_dedup": suffix_dedup.op5,
     "op6_near_dup": near_dup.op6,
     "op8_quality": quality.op8,
     "op10_line_dedup": line_dedup.op10,
