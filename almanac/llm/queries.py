@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from almanac.llm import decontaminate, line_dedup, near_dup, packing, quality, substring_dedup, suffix_dedup
+from almanac.llm import decontaminate, fingerprint, line_dedup, near_dup, packing, quality, substring_dedup, suffix_dedup
 
 QUERIES = {
     "op2_packing": packing.op2,
@@ -11,6 +11,7 @@ QUERIES = {
     "op5_suffix_dedup": suffix_dedup.op5,
     "op6_near_dup": near_dup.op6,
     "op8_quality": quality.op8,
+    "op9_fingerprint": fingerprint.op9,
     "op10_line_dedup": line_dedup.op10,
 }
 ORACLE_SQL: dict[str, str] = {}
