@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from almanac.llm import decontaminate, fingerprint, line_dedup, near_dup, packing, quality, substring_dedup, suffix_dedup
+from almanac.llm import decontaminate, fingerprint, license_scan, line_dedup, near_dup, packing, quality, substring_dedup, suffix_dedup
 
 QUERIES = {
+    "op1_license_scan": license_scan.op1,
     "op2_packing": packing.op2,
     "op3_decontaminate": decontaminate.op3,
     "op4_substring_dedup": substring_dedup.op4,
