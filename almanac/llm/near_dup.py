@@ -13,10 +13,12 @@ pairs with at least ``matches`` go to the check of their full sets; a pair at
 
 Groups of copies are never expanded into all pairs. In each posting the member
 whose values are the most frequent is the hub, and all others are checked
-against it; links join components. Postings that still hold several components
-then check, round by round, each member's likeliest partner in other
-components, and at last all pairs that are left across components and collide
-often enough. No link that could join two components stays unchecked.
+against it; links join components. Where a posting still holds several
+components, its members meet in blocks of a bounded size, which count collisions
+across components, verify the likeliest pairs first, and return only links that
+join two components: fewer rows than members. Blocks compare sets of 32-bit
+hashes; all links are confirmed on full sets, and should one of them fail the
+step is repeated with these. No link that could join two components stays unchecked.
 
 Words are ``[^\\x20\\x09-\\x0D]+`` after A-Z became a-z; null is empty. Rows
 with a null doc_id belong to no component. Rows that share a doc_id are judged
@@ -37,10 +39,8 @@ from almanac.llm.components import components
 from almanac.llm.store import checkpoint
 
 COORDINATES, POSTED = 128, 40
-#: Rounds of likeliest partners before all remaining pairs are checked.
-ROUNDS = 2
 #: Members of a posting that are compared with as many others at once.
-BLOCK = 2048
+BLOCK = 1024
 _A = np.random.RandomState(77).randint(0, 1 << 62, COORDINATES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -111,73 +111,84 @@ def _sets(it: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
 
 def _verify(it: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     for rows in it:
-        ok = []
-        for x, y in zip(rows.column(2), rows.column(3), strict=True):
-            x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-            both = len(x) + len(y) - len(np.unique(np.concatenate((x, y))))
-            ok.append(100 * both >= percent * (len(x) + len(y) - both))
+        ok = [_similar(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64), percent, 0) for x, y in zip(rows.column(2), rows.column(3), strict=True)]
         mask = pa.array(ok, pa.bool_())
         yield pa.RecordBatch.from_arrays([rows.column(0).filter(mask), rows.column(1).filter(mask)], names=["a", "b"])
 
 
-def _likely(it: Iterator[pa.RecordBatch], least: int, every: bool) -> Iterator[pa.RecordBatch]:
-    """Pairs across components from one block of a posting after another.
-
-    Rows come sorted by (key, i, j); of each block's left and right members the
-    pairs with enough collisions are returned: all, or for each member the one
-    with the most in each other component.
-    """
-
-    def pairs(rep: np.ndarray, comp: np.ndarray, left: np.ndarray, right: np.ndarray, sig: np.ndarray) -> Iterator[pa.RecordBatch]:
-        out_a, out_b, out_m = [], [], []
-        lrep, lcomp, lsig = rep[left], comp[left], sig[left]
-        rrep, rcomp, rsig = rep[right], comp[right], sig[right]
-        order = np.argsort(rcomp, kind="stable")
-        rrep, rcomp, rsig = rrep[order], rcomp[order], rsig[order]
-        groups = np.flatnonzero(np.concatenate(([True], rcomp[1:] != rcomp[:-1])))
-        for k in range(len(lrep)):
-            m = (rsig == lsig[k]).sum(1)
-            m[rcomp == lcomp[k]] = 0
-            if every:
-                got = np.flatnonzero(m >= least)
-                got = got[rrep[got] != lrep[k]]
-            else:
-                best = np.maximum.reduceat(m, groups)
-                of = np.repeat(best, np.diff(np.concatenate((groups, [len(m)]))))
-                hit = np.flatnonzero((m == of) & (m >= least))
-                got = hit[np.unique(rcomp[hit], return_index=True)[1]]
-            out_a.append(np.minimum(lrep[k], rrep[got]))
-            out_b.append(np.maximum(lrep[k], rrep[got]))
-            out_m.append(m[got])
-        if out_a:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out_a)), pa.array(np.concatenate(out_b)), pa.array(np.concatenate(out_m).astype(np.int64))], names=["a", "b", "m"])
-
+def _similar(x: np.ndarray, y: np.ndarray, percent: int, slack: int) -> bool:
+    if 100 * min(len(x), len(y)) + 100 * slack < percent * max(len(x), len(y)):
+        return False
+    both = len(x) + len(y) - len(np.unique(np.concatenate((x, y))))
+    return 100 * (both + slack) >= percent * (len(x) + len(y) - both - slack)
+
+
+def _block(t: pa.Table, least: int, percent: int, exact: bool) -> pa.RecordBatch:
+    """Links that join components among the members of two blocks of one posting."""
+    rep, comp, side = (t.column(n).to_numpy() for n in ("rep", "comp", "side"))
+    sig = np.frombuffer(b"".join(t.column("sig").to_pylist()), np.uint16).reshape(-1, COORDINATES)
+    keys = np.frombuffer(b"".join(t.column("keys").to_pylist()), np.int64).reshape(-1, POSTED // 2)
+    key = t.column("key")[0].as_py()
+    left, right = np.flatnonzero(side & 1), np.flatnonzero(side & 2)
+    pairs: list[tuple[int, int, int]] = []
+    for k in left.tolist():
+        other = right[comp[right] != comp[k]]
+        if t.column("i")[0] == t.column("j")[0]:
+            other = other[other > k]
+        m = (sig[other] == sig[k]).sum(1)
+        near = m >= least
+        other, m = other[near], m[near]
+        if len(other):
+            same = keys[other] == keys[k]
+            here = keys[k][np.argmax(same, 1)] == key  # a pair is looked at in its first posting
+            pairs += zip((-m[here]).tolist(), [k] * int(here.sum()), other[here].tolist(), strict=True)
+    parent: dict[int, int] = {}
+
+    def root(c: int) -> int:
+        while parent.setdefault(c, c) != c:
+            parent[c] = c = parent[parent[c]]
+        return c
+
+    items = t.column("items")
+    own: dict[int, np.ndarray] = {}
+    out = []
+    for _, x, y in sorted(pairs):
+        cx, cy = root(int(comp[x])), root(int(comp[y]))
+        if cx != cy:
+            for k in (x, y):
+                if k not in own:
+                    own[k] = np.frombuffer(items[k].as_buffer(), np.uint64 if exact else np.uint32)
+            if _similar(own[x], own[y], percent, 0 if exact else 1):
+                parent[max(cx, cy)] = min(cx, cy)
+                out.append((int(min(rep[x], rep[y])), int(max(rep[x], rep[y]))))
+    return pa.RecordBatch.from_arrays([pa.array([p[k] for p in out], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+
+def _blocks(it: Iterator[pa.RecordBatch], least: int, percent: int, exact: bool) -> Iterator[pa.RecordBatch]:
+    """``_block`` of each (key, i, j); rows come sorted by these."""
     rest: list[pa.Table] = []
     last = None
-
-    def block(t: pa.Table) -> Iterator[pa.RecordBatch]:
-        rep, comp = (t.column(n).to_numpy() for n in ("rep", "comp"))
-        side = t.column("side").to_numpy()
-        sig = np.frombuffer(b"".join(t.column("sig").to_pylist()), np.uint16).reshape(-1, COORDINATES)
-        if (comp != comp[0]).any():
-            yield from pairs(rep, comp, np.flatnonzero(side & 1), np.flatnonzero(side & 2), sig)
-
     for rows in it:
         if not rows.num_rows:
             continue
         t = pa.Table.from_batches([rows])
         at = np.stack([t.column(n).to_numpy() for n in ("key", "i", "j")])
-        cut = np.flatnonzero((at[:, 1:] != at[:, :-1]).any(0)) + 1
-        edges = [0, *cut.tolist(), t.num_rows]
+        edges = [0, *(np.flatnonzero((at[:, 1:] != at[:, :-1]).any(0)) + 1).tolist(), t.num_rows]
         for x, y in zip(edges[:-1], edges[1:], strict=True):
             now = tuple(at[:, x])
             if rest and now != last:
-                yield from block(pa.concat_tables(rest))
+                yield _block(pa.concat_tables(rest), least, percent, exact)
                 rest = []
             rest.append(t.slice(x, y - x))
             last = now
     if rest:
-        yield from block(pa.concat_tables(rest))
+        yield _block(pa.concat_tables(rest), least, percent, exact)
+
+
+def _short(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for rows in it:
+        small = [np.unique((np.frombuffer(x.as_buffer(), np.uint64) >> np.uint64(32)).astype(np.uint32)).tobytes() for x in rows.column(1)]
+        yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(small, pa.binary())], names=["rep", "items"])
 
 
 def near_dup(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
@@ -199,35 +210,33 @@ def near_dup(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     sig = classes.select("rep", "sig")
     pairs = pairs.join(sig.toDF("a", "sa"), "a").join(sig.toDF("b", "sb"), "b").select("a", "b", "sa", "sb").mapInArrow(lambda it: _matches(it, least), "a long, b long")
 
-    tested = checkpoint(pairs.distinct())
-    links = checkpoint(_linked(own, tested, n, percent))
+    # full sets of all that share a posting, once
+    wanted = posts.select(F.col("rep").alias("doc_id")).distinct()
+    full = checkpoint(own.join(wanted, "doc_id", "left_semi").mapInArrow(lambda it: _sets(it, n), "rep long, items binary"))
+    links = checkpoint(_linked(full, pairs, percent))
     labels = components(links)
-    for turn in range(ROUNDS + 1):
-        every = turn == ROUNDS
-        more = checkpoint(_across(posts, sig, labels, least, every).join(tested, ["a", "b"], "left_anti"))
-        if more.isEmpty():
-            break
-        new = checkpoint(_linked(own, more, n, percent))
-        tested = tested.union(more)
+    for exact in (False, True):
+        more = checkpoint(_across(posts, classes, full, labels, least, percent, exact))
+        new = checkpoint(_linked(full, more, percent))
         if not new.isEmpty():
             links = links.union(new)
             labels = components(links)
+        if more.join(new, ["a", "b"], "left_anti").isEmpty():
+            break  # else short hashes have led a block astray; full ones do not
     component = classes.select("h1", "h2", "rep").join(labels, classes["rep"] == labels["node"], "left").select("h1", "h2", F.coalesce("label", "rep").alias("component_id"))
     out = signed.select("doc_id", "n_shingles", "h1", "h2").join(component, ["h1", "h2"], "left")
     component_id = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select("doc_id", "n_shingles", component_id.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
-def _linked(own: DataFrame, pairs: DataFrame, n: int, percent: int) -> DataFrame:
+def _linked(full: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     """The pairs whose full sets are similar enough."""
-    wanted = pairs.select("a").union(pairs.select("b")).distinct().toDF("doc_id")
-    full = own.join(wanted, "doc_id", "left_semi").mapInArrow(lambda it: _sets(it, n), "rep long, items binary")
     both = pairs.select("a", "b").join(full.toDF("a", "ia"), "a").join(full.toDF("b", "ib"), "b").select("a", "b", "ia", "ib")
     return both.mapInArrow(lambda it: _verify(it, percent), "a long, b long").distinct()
 
 
-def _across(posts: DataFrame, sig: DataFrame, labels: DataFrame, least: int, every: bool) -> DataFrame:
-    """Likely pairs in postings that hold several components.
+def _across(posts: DataFrame, classes: DataFrame, full: DataFrame, labels: DataFrame, least: int, percent: int, exact: bool) -> DataFrame:
+    """Links between components from the postings that hold several of them.
 
     A posting of more than BLOCK members is split: its members are dealt into
     blocks by a hash, and every two blocks meet in a group of their own.
@@ -236,19 +245,12 @@ def _across(posts: DataFrame, sig: DataFrame, labels: DataFrame, least: int, eve
     split = at.groupBy("key").agg(F.count("*").alias("c"), F.min("comp").alias("x"), F.max("comp").alias("y")).where("x != y").select("key", F.ceil(F.col("c") / BLOCK).cast("int").alias("nb"))
     at = at.join(split, "key").withColumn("own", F.pmod(F.xxhash64("rep"), F.col("nb")).cast("int"))
     meet = F.explode(F.expr("transform(sequence(0, nb - 1), o -> struct(least(o, own) AS i, greatest(o, own) AS j, CASE WHEN o = own THEN 3 WHEN own < o THEN 1 ELSE 2 END AS side))"))
-    at = at.join(sig, "rep").select("key", "rep", "comp", "sig", meet.alias("m")).select("key", F.col("m.i").alias("i"), F.col("m.j").alias("j"), "rep", "comp", F.col("m.side").alias("side"), "sig")
+    small = full if exact else full.mapInArrow(_short, "rep long, items binary")
+    at = at.join(classes.select("rep", "sig", "keys"), "rep").join(small, "rep")
+    at = at.select("key", "rep", "comp", "sig", "keys", "items", meet.alias("m")).select("key", F.col("m.i").alias("i"), F.col("m.j").alias("j"), "rep", "comp", F.col("m.side").alias("side"), "sig", "keys", "items")
     parts = max(1, int(at.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    found = at.repartition(parts, "key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(lambda it: _likely(it, least, every), "a long, b long, m long")
-    if every:
-        return found.select("a", "b").distinct()
-    # a member's likeliest partner in each other component, over all its postings
-    node = labels.select("node", "label")
-    found = found.groupBy("a", "b").agg(F.max("m").alias("m"))
-    found = found.join(node.toDF("a", "la"), "a", "left").join(node.toDF("b", "lb"), "b", "left")
-    found = found.select("a", "b", "m", F.coalesce("la", "a").alias("la"), F.coalesce("lb", "b").alias("lb"))
-    best = F.max(F.struct("m", (-F.col("a")).alias("a"), (-F.col("b")).alias("b"))).alias("t")
-    left, right = found.groupBy("a", "lb").agg(best.alias("t")), found.groupBy("b", "la").agg(best.alias("t"))
-    return left.select("t").union(right.select("t")).select((-F.col("t.a")).alias("a"), (-F.col("t.b")).alias("b")).distinct()
+    found = at.repartition(parts, "key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(lambda it: _blocks(it, least, percent, exact), "a long, b long")
+    return found.distinct()
 
 
 def near_dedup(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
