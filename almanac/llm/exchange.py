@@ -28,7 +28,7 @@ from almanac.llm import textnp as tn
 BUCKET_BYTES = 8 << 20
 SENT = "bucket int, batch long, names binary"
 GOT = "batch long, names binary"
-PACKED = "batch long, ids array<long>, sizes binary, texts binary"
+PACKED = "batch long, ids array<long>, sizes binary, texts binary, notes binary"
 
 
 def encode(keys: np.ndarray, *more: np.ndarray) -> bytes:
@@ -57,15 +57,19 @@ def parts(docs: DataFrame) -> int:
     return max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
-def pack(docs: DataFrame, most: int = tn.BATCH_BYTES) -> DataFrame:
-    """The documents in batches of at most ``most`` bytes (or one document)."""
+def pack(docs: DataFrame, notes: Callable[[np.ndarray, np.ndarray], bytes] | None = None, most: int = tn.BATCH_BYTES) -> DataFrame:
+    """The documents in batches of at most ``most`` bytes (or one document).
+
+    ``notes`` makes, of a batch's bytes and offsets, what later rounds need again.
+    """
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, squeeze = TaskContext.get().partitionId() << 32, zstandard.ZstdCompressor(level=3)
         for rows, buf, off in tn.batches(it, most):
             ids = pa.array([rows.column(0).to_pylist()], pa.list_(pa.int64()))
             columns = [pa.array([number]), ids, pa.array([np.diff(off).tobytes()], pa.binary()), pa.array([squeeze.compress(buf.tobytes())], pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, names=["batch", "ids", "sizes", "texts"])
+            columns.append(pa.array([notes(buf, off) if notes else b""], pa.binary()))
+            yield pa.RecordBatch.from_arrays(columns, names=["batch", "ids", "sizes", "texts", "notes"])
             number += 1
 
     return docs.select("doc_id", "text").mapInArrow(run, PACKED)

@@ -70,24 +70,39 @@ def anchors(buf: np.ndarray, off: np.ndarray, length: int) -> tuple[np.ndarray,
     order = (h & ~_PLACE) | (_PLACE - (np.arange(len(h), dtype=np.uint64) & _PLACE))
     low = _sliding_min(order, length - half + 1)
     n = len(buf) - length + 1  # windows of the batch; those that cross documents are dropped
-    edge = np.zeros(len(buf) + 1, np.int32)
+    edge = np.zeros(len(buf) + 1, np.int8)
     np.add.at(edge, np.maximum(off[1:] - length + 1, off[:-1]), 1)
     np.add.at(edge, off[1:], -1)
-    ok = np.cumsum(edge)[:n] == 0
-    p = np.flatnonzero(ok)
-    place = (_PLACE - (low[p] & _PLACE)).astype(np.int64)
-    at = p + ((place - p) & int(_PLACE))
-    new = np.ones(len(p), dtype=bool)
-    new[1:] = (at[1:] != at[:-1]) | (p[1:] != p[:-1] + 1)
-    begin = np.flatnonzero(new)
-    last = np.append(begin[1:], len(p)) - 1 if len(p) else begin
-    return p[begin], p[last], at[begin], h[at[begin]]
-
-
-def _reveal(bits: int, length: int):
+    ok = np.cumsum(edge[:n], dtype=np.int8) == 0
+    same = (low[1:n] == low[: n - 1]) & ok[1:] & ok[:-1]
+    first = np.flatnonzero(ok & ~np.concatenate(([False], same)))
+    last = np.flatnonzero(ok & ~np.concatenate((same, [False])))
+    place = (_PLACE - (low[first] & _PLACE)).astype(np.int64)
+    at = first + ((place - first) & int(_PLACE))
+    return first, last, at, h[at]
+
+
+def _notes(length: int):
+    """Of each run: first window, length, and the names of its anchor and of all that it covers."""
+
+    def run(buf: np.ndarray, off: np.ndarray) -> bytes:
+        first, last, at, name = anchors(buf, off, length)
+        whole = tn.span_hash(buf, first, last + length) if len(first) else name
+        whole = tn.mix(whole * np.uint64(3) + (at - first).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+        return ex.encode(first.astype(np.uint64), last - first, name, whole)
+
+    return run
+
+
+def _runs(batch: pa.Table) -> tuple[np.ndarray, ...]:
+    """First and last window of each run, and its two names, as noted when the batch was packed."""
+    first, more, name, whole = ex.decode(batch.column("notes")[0].as_py())
+    return first.astype(np.int64), (first + more).astype(np.int64), name, whole
+
+
+def _reveal(bits: int):
     def run(batch: pa.Table) -> pa.Table:
-        _, buf, off = ex.unpack(batch)
-        name = np.sort(anchors(buf, off, length)[3] & _TOP48)
+        name = np.sort(_runs(batch)[2] & _TOP48)
         begin = np.flatnonzero(ex.starts(name))
         multi = (np.diff(np.append(begin, len(name))) > 1).astype(np.uint64)
         return ex.send(batch.column("batch")[0].as_py(), bits, name[begin], multi)
@@ -95,20 +110,12 @@ def _reveal(bits: int, length: int):
     return run
 
 
-def _contexts(buf: np.ndarray, off: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
-    """The anchor runs of ``anchors`` with the name of all they cover."""
-    first, last, at, name = anchors(buf, off, length)
-    whole = tn.span_hash(buf, first, last + length)
-    return first, last, name, tn.mix(whole * np.uint64(3) + (at - first).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-
-
-def _context(bits: int, length: int):
+def _context(bits: int):
     def run(batch: pa.Table, got: pa.Table) -> pa.Table:
-        if not batch.num_rows:
-            z = np.zeros(0, np.uint64)
+        z = np.zeros(0, np.uint64)
+        if not batch.num_rows or not got.num_rows:
             return ex.send(0, bits, z, z, z)
-        _, buf, off = ex.unpack(batch)
-        _, _, name, whole = _contexts(buf, off, length)
+        _, _, name, whole = _runs(batch)
         keep = ex.found(name & _TOP48, ex.received(got)[0])
         name, whole = name[keep], whole[keep]
         order = np.lexsort((whole, name))
@@ -154,18 +161,30 @@ def _flags(name: np.ndarray, whole: np.ndarray, got: pa.Table) -> np.ndarray:
     return out
 
 
-def _sent_windows(buf: np.ndarray, off: np.ndarray, got: pa.Table, length: int) -> tuple[np.ndarray, ...]:
+_OTHER = tn.mix(tn.BYTE_VALUE) | np.uint64(1)
+
+
+def _check(buf: np.ndarray, start: np.ndarray, length: int) -> np.ndarray:
+    """A second name of the windows, of 32 bits, from other values of the bytes."""
+    up, down = tn.POWERS.get(len(buf) + 1)
+    pre = np.zeros(len(buf) + 1, np.uint64)
+    np.cumsum(_OTHER[buf] * up[:-1], out=pre[1:])
+    return tn.mix((pre[start + length] - pre[start]) * down[start]) >> np.uint64(32)
+
+
+def _sent_windows(batch: pa.Table, got: pa.Table, length: int) -> tuple[np.ndarray, ...]:
     """Runs with their verdicts; and the starts, names and checks of the windows to compare."""
-    first, last, name, whole = _contexts(buf, off, length)
+    first, last, name, whole = _runs(batch)
     flag = _flags(name, whole, got)
     own = np.flatnonzero(flag >= 2)
     # of several equal contexts in the batch one is enough
     own = own[np.unique(np.stack((name[own], whole[own])), axis=1, return_index=True)[1]] if len(own) else own
     size = last[own] - first[own] + 1
     at = np.repeat(first[own] - (np.cumsum(size) - size), size) + np.arange(size.sum())
-    full = tn.span_hash(buf, at, at + length)
-    check = names(buf, length)[at] >> np.uint64(32) if len(at) else full
-    return first, last, flag, at, full, check
+    if not len(at):
+        return first, last, flag, at, np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+    _, buf, _ = ex.unpack(batch)
+    return first, last, flag, at, tn.span_hash(buf, at, at + length), _check(buf, at, length)
 
 
 def _window(bits: int, length: int):
@@ -173,8 +192,7 @@ def _window(bits: int, length: int):
         z = np.zeros(0, np.uint64)
         if not batch.num_rows or not got.num_rows:
             return ex.send(0, bits, z, z, z)
-        _, buf, off = ex.unpack(batch)
-        *_, full, check = _sent_windows(buf, off, got, length)
+        *_, full, check = _sent_windows(batch, got, length)
         order = np.lexsort((check, full))
         full, check = full[order], check[order]
         begin = np.flatnonzero(ex.starts(full, check))
@@ -191,7 +209,7 @@ def _finish(length: int):
         ids, buf, off = ex.unpack(batch)
         mark = np.zeros(len(buf) + 1, np.int32)
         if two.num_rows:
-            first, last, flag, at, full, check = _sent_windows(buf, off, two, length)
+            first, last, flag, at, full, check = _sent_windows(batch, two, length)
             settled = (flag & np.uint64(1)) > 0
             np.add.at(mark, first[settled], 1)
             np.add.at(mark, last[settled] + length, -1)
@@ -231,9 +249,9 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     if length < 2:
         raise ValueError("a window has two bytes at least")
     bits = ex.bucket_bits(docs)
-    packed = ex.pack(docs).repartition(ex.parts(docs), "batch")
-    one = ex.shared(ex.each(packed, _reveal(bits, length), ex.SENT))
-    two = _settle(ex.per_batch(packed, one, _context(bits, length), ex.SENT))
+    packed = ex.pack(docs, _notes(length)).repartition(ex.parts(docs), "batch")
+    one = ex.shared(ex.each(packed, _reveal(bits), ex.SENT))
+    two = _settle(ex.per_batch(packed, one, _context(bits), ex.SENT))
     three = ex.shared(ex.per_batch(packed, two, _window(bits, length), ex.SENT))
     got = two.withColumn("kind", F.lit(2)).union(three.withColumn("kind", F.lit(3)))
     return ex.per_batch(packed, got, _finish(length), OUT)
