@@ -1,4 +1,6 @@
 """All queries of the engine by name, with their SQL."""
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from almanac.plans import fixtures, tables
+
+QUERIES = tables.QUERIES | fixtures.QUERIES
+ORACLE_SQL = tables.ORACLE_SQL | fixtures.ORACLE_SQL
