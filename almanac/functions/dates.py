@@ -23,7 +23,7 @@ def _date(y: Column, m: Column, d: Column) -> Column:
 def _matches(text: Column, pattern: str, fields: int) -> Column:
     """Array of arrays: the groups of each match, in order."""
     whole = F.regexp_extract_all(text, F.lit(f"({pattern})"), F.lit(1))
-    return F.transform(whole, lambda x: F.array(*[F.regexp_extract(x, f"^{pattern.replace(_L, '').replace(_R, '')}", k + 1) for k in range(fields)]))
+    return F.transform(whole, lambda x: F.array(*[F.regexp_extract(x, f"^{pattern.replace(_L, '').replace(_R, '')}$", k + 1) for k in range(fields)]))
 
 
 def _keep(dates: list[Column]) -> Column:

@@ -93,10 +93,12 @@ def fold_component(rows: pd.DataFrame) -> pd.DataFrame:
     """
     holders: dict[str, int] = {}
     out: list[dict] = []
+    norms = {u: n for row in rows.to_dict("records") for u, n in zip([row["homepage_url"], *_list(row["event_listing_urls"])], _list(row["norms"]), strict=True)}
 
     def claim(i: int) -> None:
-        for u in _list(out[i]["urls"]):
-            holders.setdefault(u, i)
+        for u in (out[i]["homepage_url"], *_list(out[i]["event_listing_urls"])):
+            if norms.get(u) is not None:
+                holders.setdefault(norms[u], i)
 
     for row in rows.sort_values(["side", "pos"]).to_dict("records"):
         at = None if row["side"] == 0 else next((holders[u] for u in _list(row["urls"]) if u in holders), None)
@@ -122,7 +124,6 @@ def fold_component(rows: pd.DataFrame) -> pd.DataFrame:
                 changes.append(f)
         if changes:
             own["changes"] = [*own["changes"], ",".join(sorted(set(changes)))]
-        own["urls"] = list(dict.fromkeys([*_list(own["urls"]), *_list(row["urls"])]))
         claim(at)
     return pd.DataFrame(out)
 
@@ -134,14 +135,14 @@ def merge_sources(known: DataFrame, incoming: DataFrame) -> DataFrame:
     is folded in input order, and ids of new rows get a suffix where taken.
     """
     both = known.withColumn("side", F.lit(0)).unionByName(incoming.withColumn("side", F.lit(1)))
-    both = both.withColumns({"urls": urls.source_urls(F.col("homepage_url"), F.col("event_listing_urls")), "node": F.concat_ws("/", "side", F.format_string("%012d", F.col("pos")))})
+    both = both.withColumns({"urls": urls.source_urls(F.col("homepage_url"), F.col("event_listing_urls")), "norms": F.transform(F.concat(F.array("homepage_url"), "event_listing_urls"), urls.identity), "node": F.concat_ws("/", "side", F.format_string("%012d", F.col("pos")))})
     edges = both.select("node", F.explode("urls").alias("url"))
     first = edges.groupBy("url").agg(F.min("node").alias("hub"))
     labels = min_labels(edges.join(first, "url").where("node != hub").select(F.col("node").alias("a"), F.col("hub").alias("b")))
     rows = both.join(labels, "node", "left").withColumn("component", F.coalesce("label", "node")).drop("label", "node")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema) + ", changes array<string>, is_new boolean"
     folded = rows.groupBy("component").applyInPandas(lambda g: fold_component(g)[[x.strip().split(" ")[0].strip("`") for x in _names(schema)]], schema)
-    return resolve_ids(folded).drop("component", "urls")
+    return resolve_ids(folded).drop("component", "urls", "norms")
 
 
 def _names(schema: str) -> Iterator[str]:
