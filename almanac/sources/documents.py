@@ -32,7 +32,7 @@ def read_yaml(spark: SparkSession, path: str, field: str) -> DataFrame:
     Files are read by Spark, whole, one after another in a task; a document that
     is no YAML, or lacks the field, has no rows.
     """
-    files = spark.read.option("wholetext", True).text(path).select(F.col("_metadata.file_path").alias("path"), "value")
+    files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), "value")
     return files.mapInArrow(lambda it: _rows(it, field), "path string, pos long, raw string")
 
 
