@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from almanac.llm import decontaminate, fingerprint, license_scan, line_dedup, near_dup, packing, quality, substring_dedup, suffix_dedup, toxicity
+from almanac.llm import decontaminate, fingerprint, license_scan, line_dedup, near_dup, packing, quality, sql, substring_dedup, suffix_dedup, toxicity
 
 QUERIES = {
     "op1_license_scan": license_scan.op1,
@@ -16,4 +16,4 @@ QUERIES = {
     "op9_fingerprint": fingerprint.op9,
     "op10_line_dedup": line_dedup.op10,
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = sql.ORACLE_SQL
