@@ -40,7 +40,7 @@ from almanac.llm.store import checkpoint
 
 COORDINATES, POSTED = 128, 40
 #: Members of a posting that are compared with as many others at once.
-BLOCK = 1024
+BLOCK = 2048
 _A = np.random.RandomState(77).randint(0, 1 << 62, COORDINATES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -111,12 +111,13 @@ def _sets(it: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
 
 def _verify(it: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     for rows in it:
-        ok = [_similar(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64), percent, 0) for x, y in zip(rows.column(2), rows.column(3), strict=True)]
+        ok = [_similar(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64), percent) for x, y in zip(rows.column(2), rows.column(3), strict=True)]
         mask = pa.array(ok, pa.bool_())
         yield pa.RecordBatch.from_arrays([rows.column(0).filter(mask), rows.column(1).filter(mask)], names=["a", "b"])
 
 
-def _similar(x: np.ndarray, y: np.ndarray, percent: int, slack: int) -> bool:
+def _similar(x: np.ndarray, y: np.ndarray, percent: int, slack: int = 0) -> bool:
+    """Whether sorted sets are similar enough; slack: elements that may be missing by collisions."""
     if 100 * min(len(x), len(y)) + 100 * slack < percent * max(len(x), len(y)):
         return False
     both = len(x) + len(y) - len(np.unique(np.concatenate((x, y))))
@@ -149,7 +150,7 @@ def _block(t: pa.Table, least: int, percent: int, exact: bool) -> pa.RecordBatch
             parent[c] = c = parent[parent[c]]
         return c
 
-    items = t.column("items")
+    items, size = t.column("items"), t.column("n").to_numpy()
     own: dict[int, np.ndarray] = {}
     out = []
     for _, x, y in sorted(pairs):
@@ -158,7 +159,8 @@ def _block(t: pa.Table, least: int, percent: int, exact: bool) -> pa.RecordBatch
             for k in (x, y):
                 if k not in own:
                     own[k] = np.frombuffer(items[k].as_buffer(), np.uint64 if exact else np.uint32)
-            if _similar(own[x], own[y], percent, 0 if exact else 1):
+            lost = int(size[x] - len(own[x]) + size[y] - len(own[y]))
+            if _similar(own[x], own[y], percent, lost):
                 parent[max(cx, cy)] = min(cx, cy)
                 out.append((int(min(rep[x], rep[y])), int(max(rep[x], rep[y]))))
     return pa.RecordBatch.from_arrays([pa.array([p[k] for p in out], pa.int64()) for k in (0, 1)], names=["a", "b"])
@@ -186,9 +188,15 @@ def _blocks(it: Iterator[pa.RecordBatch], least: int, percent: int, exact: bool)
 
 
 def _short(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sets by the leading 32 bits of their hashes, with their true sizes.
+
+    Elements of one set that fall together show by the size; elements of two sets
+    that do can only make a pair look more alike, and full sets tell these apart.
+    """
     for rows in it:
-        small = [np.unique((np.frombuffer(x.as_buffer(), np.uint64) >> np.uint64(32)).astype(np.uint32)).tobytes() for x in rows.column(1)]
-        yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(small, pa.binary())], names=["rep", "items"])
+        full = [np.frombuffer(x.as_buffer(), np.uint64) for x in rows.column(1)]
+        small = [np.unique((x >> np.uint64(32)).astype(np.uint32)).tobytes() for x in full]
+        yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(small, pa.binary()), pa.array([len(x) for x in full], pa.int64())], names=["rep", "items", "n"])
 
 
 def near_dup(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
@@ -245,9 +253,9 @@ def _across(posts: DataFrame, classes: DataFrame, full: DataFrame, labels: DataF
     split = at.groupBy("key").agg(F.count("*").alias("c"), F.min("comp").alias("x"), F.max("comp").alias("y")).where("x != y").select("key", F.ceil(F.col("c") / BLOCK).cast("int").alias("nb"))
     at = at.join(split, "key").withColumn("own", F.pmod(F.xxhash64("rep"), F.col("nb")).cast("int"))
     meet = F.explode(F.expr("transform(sequence(0, nb - 1), o -> struct(least(o, own) AS i, greatest(o, own) AS j, CASE WHEN o = own THEN 3 WHEN own < o THEN 1 ELSE 2 END AS side))"))
-    small = full if exact else full.mapInArrow(_short, "rep long, items binary")
+    small = full.withColumn("n", (F.length("items") / 8).cast("long")) if exact else full.mapInArrow(_short, "rep long, items binary, n long")
     at = at.join(classes.select("rep", "sig", "keys"), "rep").join(small, "rep")
-    at = at.select("key", "rep", "comp", "sig", "keys", "items", meet.alias("m")).select("key", F.col("m.i").alias("i"), F.col("m.j").alias("j"), "rep", "comp", F.col("m.side").alias("side"), "sig", "keys", "items")
+    at = at.select("key", "rep", "comp", "sig", "keys", "items", "n", meet.alias("m")).select("key", F.col("m.i").alias("i"), F.col("m.j").alias("j"), "rep", "comp", F.col("m.side").alias("side"), "sig", "keys", "items", "n")
     parts = max(1, int(at.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     found = at.repartition(parts, "key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(lambda it: _blocks(it, least, percent, exact), "a long, b long")
     return found.distinct()
