@@ -11,13 +11,14 @@ from almanac.functions import text as tx
 
 
 def active_strict(sources: DataFrame) -> DataFrame:
-    """active is the boolean true."""
+    """active is the boolean true (a text that says so has its quotes)."""
     return sources.where(F.col("active") == "true")
 
 
 def active_lenient(sources: DataFrame) -> DataFrame:
     """active is true, or a text that says so."""
-    return sources.where(F.lower(tx.strip(F.col("active").cast("string"))) == "true")
+    bare = F.regexp_replace(F.col("active").cast("string"), '^"|"$', "")
+    return sources.where(F.lower(tx.strip(bare)) == "true")
 
 
 def is_social(kind: Column, homepage: Column, listings: Column) -> Column:

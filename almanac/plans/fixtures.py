@@ -167,7 +167,7 @@ _SOURCES = [
     ("s2", "Two", "https://facebook.com/two", "", "venue", "true"),
     ("s3", "Three", "https://three.sk", "", "Social media", "true"),
     ("s4", "Four", "https://four.sk", "https://netflix.com/x", "portal", "true"),
-    ("s5", "Five", "https://five.sk", "", "forum", "TRUE"),
+    ("s5", "Five", "https://five.sk", "", "forum", '"TRUE"'),
     ("s6", "Six", "https://six.sk", "", "venue", "false"),
     ("s7", "", "https://seven.sk", "", "venue", "true"),
     ("s8", "Eight", None, "", "venue", "true"),

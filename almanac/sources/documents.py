@@ -46,6 +46,13 @@ def bool_of(raw: Column, name: str) -> Column:
     return F.coalesce(F.lower(text_of(raw, name)) == "true", F.lit(False))
 
 
+def literal_of(raw: Column, name: str) -> Column:
+    """A scalar field as JSON has it: texts keep their quotes, so ``"true"`` is not ``true``."""
+    value = F.get_json_object(raw, f"$.{name}")
+    kind = F.schema_of_variant(F.try_variant_get(F.try_parse_json(raw), f"$.{name}", "variant"))
+    return F.when(kind == "STRING", F.concat(F.lit('"'), value, F.lit('"'))).otherwise(value)
+
+
 def list_of(raw: Column, name: str) -> Column:
     """A list field; a scalar is a list of one, null and absent an empty one."""
     value = F.get_json_object(raw, f"$.{name}")
@@ -62,7 +69,7 @@ def typed_sources(raw: DataFrame) -> DataFrame:
         *[text_of(r, c).alias(c) for c in ("id", "name", "homepage_url", "source_type", "access_type", "crawl_frequency", "confidence")],
         *[list_of(r, c).alias(c) for c in ("event_listing_urls", "event_focus", "languages", "genre_tags")],
         F.coalesce(F.get_json_object(r, "$.geo_coverage.primary_city"), F.array_join(list_of(r, "geo_coverage"), ",")).alias("geo_coverage"),
-        F.get_json_object(r, "$.active").alias("active"),
+        literal_of(r, "active").alias("active"),
         F.get_json_object(r, "$.robots_txt_checked").alias("robots_txt_checked"),
     )
 

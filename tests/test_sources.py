@@ -5,7 +5,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from almanac.operators import report
+from almanac.operators import predicates, report
 from almanac.sources import config, documents, fetch, sinks
 from almanac.streaming import upsert
 from tests.test_dedup import COLUMNS, events
@@ -15,7 +15,10 @@ def test_yaml_scan(spark, tmp_path):
     (tmp_path / "a.yaml").write_text("contract: x\nsources:\n- id: s1\n  active: 'true'\n  event_focus: rock\n- id: s2\n  active: true\n  event_focus: [a, b]\n  geo_coverage: {primary_city: B}\n")
     (tmp_path / "bad.yaml").write_text("{: [")
     rows = documents.typed_sources(documents.read_yaml(spark, str(tmp_path / "*.yaml"), "sources")).orderBy("pos").collect()
-    assert [(r["id"], r["event_focus"], r["active"], r["geo_coverage"]) for r in rows] == [("s1", ["rock"], "true", ""), ("s2", ["a", "b"], "true", "B")]
+    assert [(r["id"], r["event_focus"], r["active"], r["geo_coverage"]) for r in rows] == [("s1", ["rock"], '"true"', ""), ("s2", ["a", "b"], "true", "B")]
+    typed = documents.typed_sources(documents.read_yaml(spark, str(tmp_path / "*.yaml"), "sources"))
+    assert [r["id"] for r in predicates.active_strict(typed).collect()] == ["s2"]
+    assert sorted(r["id"] for r in predicates.active_lenient(typed).collect()) == ["s1", "s2"]
 
 
 def test_snapshot_and_stage(spark, tmp_path):
