@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from almanac.llm import textnp as tn
+from almanac.llm.columns import keeping, plus
 
 WINDOW = 8
 #: Words of one automaton: about 1 kB each in a task's memory.
@@ -198,7 +199,7 @@ def _items(benchmark: DataFrame) -> list[list[tuple[str, bytes]]]:
 _MATCHERS: dict[int, Matcher] = {}
 
 
-def _scan(it: Iterator[pa.RecordBatch], items: list[tuple[str, bytes]], window: int, key: int) -> Iterator[pa.RecordBatch]:
+def _scan(it: Iterator[pa.RecordBatch], items: list[tuple[str, bytes]], window: int, key: int, cut: bool) -> Iterator[pa.RecordBatch]:
     if key not in _MATCHERS:
         _MATCHERS.clear()
         _MATCHERS[key] = Matcher(items, window)
@@ -219,12 +220,17 @@ def _scan(it: Iterator[pa.RecordBatch], items: list[tuple[str, bytes]], window:
         if "hit_items" in rows.schema.names:  # of an earlier block of items
             names = [sorted({*x, *y}) for x, y in zip(names, rows.column(rows.schema.get_field_index("hit_items")).to_pylist(), strict=True)]
             runs = [_merge(x, y) for x, y in zip(runs, rows.column(rows.schema.get_field_index("hit_spans")).to_pylist(), strict=True)]
+        if cut and any(runs):
+            at = rows.schema.get_field_index("text")
+            texts = [_without(t, r) for t, r in zip(rows.column(at).to_pylist(), runs, strict=True)]
+            rows = rows.set_column(at, rows.schema.field(at), pa.array(texts, rows.schema.field(at).type))
         columns = [rows.column(i) for i, n in enumerate(rows.schema.names) if n not in ("n_words", "hit_items", "hit_spans")]
         kept = [f for f in rows.schema if f.name not in ("n_words", "hit_items", "hit_spans")]
         schema = pa.schema([*kept, ("n_words", pa.int64()), ("hit_items", pa.list_(pa.string())), ("hit_spans", _SPANS)])
         yield pa.RecordBatch.from_arrays([*columns, pa.array(np.diff(first), pa.int64()), pa.array(names, pa.list_(pa.string())), pa.array(runs, _SPANS)], schema=schema)
 
 
+_ADDED = ("n_words", "hit_items", "hit_spans")
 _SPANS = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64()), ("start", pa.int64()), ("end", pa.int64())]))
 _DDL = "n_words long, hit_items array<string>, hit_spans array<struct<first:long,last:long,start:long,end:long>>"
 
@@ -240,37 +246,33 @@ def _merge(x: list[dict], y: list[dict]) -> list[dict]:
     return out
 
 
-def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+def _without(text: str | None, spans: list[dict]) -> str | None:
+    """The text less its spans."""
+    if not spans:
+        return text
+    raw, at, parts = text.encode(), 0, []
+    for s in spans:
+        parts.append(raw[at : s["start"]])
+        at = s["end"]
+    return b"".join([*parts, raw[at:]]).decode()
+
+
+def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, cut: bool = False) -> DataFrame:
     """The documents with n_words, hit_items (sorted ids) and hit_spans.
 
     A span has its first and last word and its byte range in the UTF-8 text.
-    Columns of those three names in the input are replaced. No shuffle.
+    Columns of those three names in the input are replaced. With ``cut`` the text
+    comes without its spans. No shuffle.
     """
     out = docs.drop("n_words", "hit_items", "hit_spans")
-    for block in _items(benchmark):
-        fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in out.schema if f.name not in ("n_words", "hit_items", "hit_spans"))
+    blocks = _items(benchmark)
+    for k, block in enumerate(blocks):
+        last = cut and k == len(blocks) - 1
         key = hash((window, tuple(block)))
-        out = out.mapInArrow(lambda it, block=block, key=key: _scan(it, block, window, key), f"{fields}, {_DDL}")
+        out = out.mapInArrow(lambda it, block=block, key=key, last=last: _scan(it, block, window, key, last), plus(out.drop(*_ADDED).schema, _DDL))
     return out
 
 
-def _cut(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for rows in it:
-        names = rows.schema.names
-        texts, spans = (rows.column(names.index(n)).to_pylist() for n in ("text", "hit_spans"))
-        out = []
-        for text, cuts in zip(texts, spans, strict=True):
-            if cuts:
-                raw, at, parts = text.encode(), 0, []
-                for c in cuts:
-                    parts.append(raw[at : c["start"]])
-                    at = c["end"]
-                text = b"".join([*parts, raw[at:]]).decode()
-            out.append(text)
-        columns = [pa.array(out, pa.string()) if n == "text" else rows.column(i) for i, n in enumerate(names)]
-        yield pa.RecordBatch.from_arrays(columns, names=names)
-
-
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_items: int = 2, max_coverage: float = 0.5) -> DataFrame:
     """The documents without what they share with the benchmark.
 
@@ -278,15 +280,17 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, m
     items or more, or cover more than ``max_coverage`` of its words. The columns
     are those of ``docs``; n_chars, where there is one, is counted anew.
     """
-    names = docs.columns
-    marked = scan(docs.withColumn("_n_chars", F.lit(None).cast("long")) if "n_chars" not in names else docs, benchmark, window)
-    hit = F.aggregate("hit_spans", F.lit(0).cast("long"), lambda a, s: a + s["last"] - s["first"] + 1)
-    kept = marked.where((F.size("hit_items") < max_items) & (hit <= F.lit(max_coverage) * F.col("n_words")))
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema)
-    out = kept.mapInArrow(_cut, fields)
-    if "n_chars" in names:
-        out = out.withColumn("n_chars", F.when(F.size("hit_spans") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return out.select(*names)
+
+    def clean(own: DataFrame) -> DataFrame:
+        marked = scan(own, benchmark, window, cut=True)
+        hit = F.aggregate("hit_spans", F.lit(0).cast("long"), lambda a, s: a + s["last"] - s["first"] + 1)
+        out = marked.where((F.size("hit_items") < max_items) & (hit <= F.lit(max_coverage) * F.col("n_words")))
+        if "n_chars" not in docs.columns:
+            return out
+        length = F.length("text").cast(docs.schema["n_chars"].dataType)
+        return out.withColumn("n_chars", F.when(F.size("hit_spans") > 0, length).otherwise(F.col("n_chars")))
+
+    return keeping(docs, _ADDED, clean)
 
 
 def op3(spark, sf_dir: str) -> DataFrame:

@@ -21,11 +21,14 @@ import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from almanac.llm import textnp as tn
 
 #: Bytes of names that a bucket gathers, about; it sets the number of buckets.
 BUCKET_BYTES = 8 << 20
+#: Bytes of text of a packed batch, about.
+PACKED_BYTES = 4 << 20
 SENT = "bucket int, batch long, names binary"
 GOT = "batch long, names binary"
 PACKED = "batch long, ids array<long>, sizes binary, texts binary, notes binary"
@@ -48,8 +51,13 @@ def decode(blob: bytes) -> list[np.ndarray]:
 
 
 def bucket_bits(docs: DataFrame) -> int:
-    """Leading bits that choose a bucket, from the optimizer's size of the input."""
+    """Leading bits that choose a bucket, from the optimizer's size of the input.
+
+    Where the optimizer has no size, as for rows that come from an RDD, texts are measured.
+    """
     size = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if size >= 1 << 58:
+        size = docs.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
     return max(6, min(20, (size // BUCKET_BYTES).bit_length()))
 
 
@@ -57,7 +65,7 @@ def parts(docs: DataFrame) -> int:
     return max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
-def pack(docs: DataFrame, notes: Callable[[np.ndarray, np.ndarray], bytes] | None = None, most: int = tn.BATCH_BYTES) -> DataFrame:
+def pack(docs: DataFrame, notes: Callable[[np.ndarray, np.ndarray], bytes] | None = None, most: int = PACKED_BYTES) -> DataFrame:
     """The documents in batches of at most ``most`` bytes (or one document).
 
     ``notes`` makes, of a batch's bytes and offsets, what later rounds need again.

@@ -29,9 +29,9 @@ from almanac.llm import textnp as tn
 
 CAPACITY = 4096
 END_ID = 2
-GROUP_WINDOWS = 128
+GROUP_WINDOWS = 256
 #: Distinct units whose ids a task remembers.
-CACHE_WORDS = 1_500_000
+CACHE_WORDS = 500_000
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 

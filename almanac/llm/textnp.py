@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Texts of one sub-batch; a single longer text is a sub-batch of its own.
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 1 << 20
 
 _RNG = np.random.RandomState(20240229)
 #: Fixed random value of every byte, and the odd base of the prefix hash.
