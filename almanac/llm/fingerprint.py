@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from almanac.llm import textnp as tn
+from almanac.llm.columns import plus
 
 SPAN, BINS = 16, 64
 _PRIMES = (np.uint64(2147483647), np.uint64(2147483629))
@@ -137,14 +138,12 @@ def compare(a: str, b: str) -> float:
 def fingerprint(docs: DataFrame) -> DataFrame:
     """The documents with n_chars and their fingerprint (replaced if there are such). No shuffle."""
     docs = docs.drop("n_chars", "fingerprint")
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, buf, off in tn.batches(it, 1 << 20):
             _, first = _characters(buf, off)
             yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(np.diff(first)), pa.array(fingerprints(buf, off)[0])], names=[*rows.schema.names, "n_chars", "fingerprint"])
 
-    return docs.mapInArrow(run, f"{fields}, n_chars long, fingerprint string")
+    return docs.mapInArrow(run, plus(docs.schema, "n_chars long, fingerprint string"))
 
 
 def _halves(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:

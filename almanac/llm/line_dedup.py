@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from almanac.llm import textnp as tn
+from almanac.llm.columns import keeping, plus
 
 #: A boundary stands behind a line in so many on average.
 EVERY = 4
@@ -132,8 +133,7 @@ def mark(docs: DataFrame, every: int = EVERY) -> DataFrame:
     places = own.mapInArrow(lambda it: _chunks(it, every, False), "doc_id long, h long").distinct()
     known = places.join(repeated, "h").groupBy("doc_id").agg(F.collect_list(F.struct("h", "bytes", "owner")).alias(_REPEATS))
     held = docs.drop("n_lines", "n_removed").join(known, "doc_id", "left")
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in held.schema if f.name != _REPEATS)
-    return held.mapInArrow(lambda it: _remove(it, every), f"{fields}, n_lines long, n_removed long")
+    return held.mapInArrow(lambda it: _remove(it, every), plus(held.drop(_REPEATS).schema, "n_lines long, n_removed long"))
 
 
 def line_dedup(docs: DataFrame, every: int = EVERY) -> DataFrame:
@@ -141,11 +141,15 @@ def line_dedup(docs: DataFrame, every: int = EVERY) -> DataFrame:
 
     The columns are those of ``docs``; n_chars, where there is one, is counted anew.
     """
-    out = mark(docs.drop("n_lines", "n_removed"), every)
-    out = out.where("n_removed = 0 OR n_removed < n_lines")
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return out.select(*docs.columns)
+
+    def clean(own: DataFrame) -> DataFrame:
+        out = mark(own, every).where("n_removed = 0 OR n_removed < n_lines")
+        if "n_chars" not in docs.columns:
+            return out
+        length = F.length("text").cast(docs.schema["n_chars"].dataType)
+        return out.withColumn("n_chars", F.when(F.col("n_removed") > 0, length).otherwise(F.col("n_chars")))
+
+    return keeping(docs, ("n_lines", "n_removed"), clean)
 
 
 def op10(spark, sf_dir: str) -> DataFrame:

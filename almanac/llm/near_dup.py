@@ -264,7 +264,7 @@ def _across(posts: DataFrame, classes: DataFrame, full: DataFrame, labels: DataF
 def near_dedup(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     """The documents without all but the smallest doc_id of each component."""
     gone = near_dup(docs, n, percent).where("NOT kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    return docs.join(gone, "doc_id", "left_anti").select(*[f"`{c}`" for c in docs.columns])
 
 
 def op6(spark, sf_dir: str) -> DataFrame:

@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from almanac.llm import textnp as tn
+from almanac.llm.columns import plus
 
 MAX_LABELLED, MAX_CHARS = 3000, 8_000
 WINDOW, STRIDE = 64, 32
@@ -243,14 +244,12 @@ def score(docs: DataFrame, net: Network | None) -> DataFrame:
     """The documents with the column toxicity_score (replaced if there is one)."""
     sent = docs.sparkSession.sparkContext.broadcast(net)
     docs = docs.drop("toxicity_score")
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, buf, off in tn.batches(it):
             s = score_texts(sent.value, buf, off)[0] if sent.value is not None else np.full(rows.num_rows, 0.5)
             yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(s, pa.float64())], names=[*rows.schema.names, "toxicity_score"])
 
-    return docs.mapInArrow(run, f"{fields}, toxicity_score double")
+    return docs.mapInArrow(run, plus(docs.schema, "toxicity_score double"))
 
 
 def op7(spark, sf_dir: str) -> DataFrame:

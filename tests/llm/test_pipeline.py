@@ -35,6 +35,17 @@ def test_empty_and_odd(spark):
         docs.count()
 
 
+def test_columns_stay(spark):
+    """Columns whose names the stages use for their own come back as they were."""
+    rows = [(k, "some words of a text " * 9 + str(k), "p", "q", None, "r", "`s", 1.5) for k in range(4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, quality_score string, N_Words string, hit_spans string, n_lines string, `a.b` string, n_removed double")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns
+        for r in out.collect():
+            assert tuple(r)[2:] == ("p", "q", None, "r", "`s", 1.5)
+
+
 def test_names():
     assert [len([q for q in queries.QUERIES if re.match(rf"op{n}_", q)]) for n in range(1, 11)] == [1] * 10
     assert len(corpus_pipeline.STAGES) == 5
