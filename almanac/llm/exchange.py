@@ -80,7 +80,7 @@ def pack(docs: DataFrame, notes: Callable[[np.ndarray, np.ndarray], bytes] | Non
             yield pa.RecordBatch.from_arrays(columns, names=["batch", "ids", "sizes", "texts", "notes"])
             number += 1
 
-    return docs.select("doc_id", "text").mapInArrow(run, PACKED)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, PACKED)
 
 
 def unpack(batch: pa.Table) -> tuple[list, np.ndarray, np.ndarray]:

@@ -127,7 +127,7 @@ def _remove(it: Iterator[pa.RecordBatch], every: int) -> Iterator[pa.RecordBatch
 
 def mark(docs: DataFrame, every: int = EVERY) -> DataFrame:
     """The documents with their text cleaned, n_lines and n_removed (lines)."""
-    own = docs.select("doc_id", "text").where("doc_id IS NOT NULL")
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id IS NOT NULL")
     full = own.mapInArrow(lambda it: _chunks(it, every, True), "doc_id long, h long, bytes binary")
     repeated = full.groupBy("h", "bytes").agg(F.count("*").alias("n"), F.min("doc_id").alias("owner")).where("n > 1").drop("n")
     places = own.mapInArrow(lambda it: _chunks(it, every, False), "doc_id long, h long").distinct()

@@ -202,7 +202,7 @@ def _short(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def near_dup(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept."""
     least = least_matches(percent)
-    own = docs.select("doc_id", "text")
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     signed = checkpoint(own.mapInArrow(lambda it: _sign(it, n), "doc_id long, n_shingles long, h1 long, h2 long, sig binary, keys binary"))
     classes = signed.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("h1", "h2").agg(F.min("doc_id").alias("rep"), F.first("sig").alias("sig"), F.first("keys").alias("keys"))
     classes = checkpoint(classes)

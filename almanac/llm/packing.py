@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from almanac.llm import textnp as tn
 
@@ -265,7 +266,7 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFrame
 
     ``tokenizer`` is the path of a vocabulary file that every executor has.
     """
-    return docs.select("doc_id", "text").mapInArrow(lambda it: _pack(it, tokenizer, capacity), SCHEMA)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(lambda it: _pack(it, tokenizer, capacity), SCHEMA)
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
