@@ -201,3 +201,69 @@ def test_line_dedup(spark, docs, none, rows):
     kept = line_dedup.line_dedup(frame(spark, more))
     assert kept.columns == docs.columns and kept.where("n_chars != length(text)").count() == 0
     assert line_dedup.mark(none).count() == 0
+
+
+def runs_brute(rows):
+    """A line goes if it is one of two neighbours, not both blank, that stand earlier without overlap; or in a blank stretch that does with its neighbour."""
+    places = {}
+    parts = [(i, (t or "").split("\n") if t else []) for i, t in rows]
+    found = []
+    for k, (i, p) in enumerate(parts):
+        own = {(x, x + 2) for x in range(len(p) - 1) if p[x].strip() or p[x + 1].strip()}
+        x = 0
+        while x < len(p):
+            y = x
+            while y < len(p) and not p[y].strip():
+                y += 1
+            if y - x > 1:
+                own |= ({(x - 1, y)} if x else set()) | ({(x, y + 1)} if y < len(p) else set())
+            x = y + 1
+        found.append(sorted(own))
+        if i is not None:
+            for x, y in sorted(own):
+                places.setdefault(tuple(p[x:y]), []).append((i, x, y, k))
+    out = []
+    for k, (i, p) in enumerate(parts):
+        gone = set()
+        for x, y in found[k] if i is not None else []:
+            at = places[tuple(p[x:y])]
+            if min(at)[0] < i or min(o[2] for o in at if o[3] == k) <= x:
+                gone |= set(range(x, y))
+        out.append((i, len(p), len(gone), rows[k][1] if not gone else "\n".join(w for j, w in enumerate(p) if j not in gone)))
+    return out
+
+
+@pytest.mark.parametrize("size", range(2, 9))
+def test_line_runs_planted(spark, size):
+    """Passages between different lines go whole from all documents but the first, and nothing else goes."""
+    rows, want = [], []
+    for k in range(40):
+        passage = [f"passage {k} of {size}, line {j}" for j in range(size)]
+        for c in range(3):
+            before, behind = ([f"{side} {k} {c} {j}" for j in range((k + c) % 3 + 1)] for side in ("before", "behind"))
+            rows.append((3 * k + c, "\n".join(before + passage + behind)))
+            want.append((3 * k + c, size if c else 0, rows[-1][1] if not c else "\n".join(before + behind)))
+    got = line_dedup.runs(frame(spark, rows)).select("doc_id", "n_removed", "text").collect()
+    assert sorted(map(tuple, got)) == want
+    left = line_dedup.line_dedup(frame(spark, rows)).select("doc_id", "text").collect()
+    assert sorted(map(tuple, left)) == [(i, t) for i, _, t in want]
+
+
+def test_line_runs(spark, none, rows):
+    block = "\n".join(f"line {k} of a block" for k in range(60))
+    more = rows + [
+        (300, block), (301, "intro\n" + block + "\noutro"), (302, block + "\n" + block), (None, block), (303, "\n\n\n"), (304, "\n\n\n"), (305, "a\na\na\na"), (306, "b\na\na\nb"), (307, "c\n\n \n\nd"),
+        (308, "e\nc\n\n \n\nd\nf\n\n\n"), (309, "f\n\n\n"), (310, "x\ny\nx\ny\nx"), (311, "c\n\n\n"), (312, "line 8 of a block\nline 9 of a block\n"), (312, "u\nv"), (312, "u\nv"), (313, "u\nv\r\nw"),
+    ]
+    want = Counter(runs_brute(more))
+    assert sum(x[2] for x in want) > 250
+
+    def found():
+        return Counter((r["doc_id"], r["n_lines"], r["n_removed"], r["text"]) for r in line_dedup.runs(frame(spark, more)).collect())
+
+    assert found() == want
+    assert line_dedup.runs(none).count() == 0 and line_dedup.line_dedup(none).count() == 0
+    # texts go through one exchange
+    plan = line_dedup.runs(frame(spark, more))
+    plan.collect()
+    assert "ReusedExchange" in plan._jdf.queryExecution().executedPlan().toString()
