@@ -1,8 +1,8 @@
 """MinHash near-dedup by an inverted join on signature coordinates.
 
 A text's set is its distinct ``n``-word shingles (fewer words: all of them as
-one; no words: empty, linked with nothing). Texts with equal sets make a class;
-only its smallest doc_id goes on. ``COORDINATES`` minima sign a set. Classes are
+one; no words: empty, linked with nothing). Texts with equal sets make a class,
+named by a number of its own; only the text of its smallest doc_id goes on. ``COORDINATES`` minima sign a set. Classes are
 posted under pairs of coordinate values: a posting is the intersection of two
 inverted lists, so the long lists of single frequent values are never merged
 (skip merging), and only ``POSTED`` coordinates, a prefix, are posted at all. A
@@ -22,7 +22,10 @@ step is repeated with these. No link that could join two components stays unchec
 
 Words are ``[^\\x20\\x09-\\x0D]+`` after A-Z became a-z; null is empty. Rows
 with a null doc_id belong to no component. Rows that share a doc_id are judged
-each for itself. An empty table gives no rows.
+each for itself: a row is told by its doc_id and a 64-bit hash of its text, and a
+component is shown by its smallest doc_id, so unlike texts of one doc_id may show
+the same component_id. ``kept`` is true for every row that has this doc_id;
+``near_dedup`` keeps one row of each component. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -85,8 +88,8 @@ def _sign(it: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
         sig = np.ascontiguousarray((low >> np.uint64(48)).astype(np.uint16))
         keys = np.ascontiguousarray(tn.mix(low[:, 0:POSTED:2] * np.uint64(3) + tn.mix(low[:, 1:POSTED:2]) + np.arange(POSTED // 2, dtype=np.uint64)))
         yield pa.RecordBatch.from_arrays(
-            [rows.column(0), pa.array(size), *(pa.array(x.view(np.int64)) for x in digest), pa.array([x.tobytes() for x in sig], pa.binary()), pa.array([x.tobytes() for x in keys], pa.binary())],
-            names=["doc_id", "n_shingles", "h1", "h2", "sig", "keys"],
+            [rows.column(0), rows.column(2), pa.array(size), *(pa.array(x.view(np.int64)) for x in digest), pa.array([x.tobytes() for x in sig], pa.binary()), pa.array([x.tobytes() for x in keys], pa.binary())],
+            names=["doc_id", "t", "n_shingles", "h1", "h2", "sig", "keys"],
         )
 
 
@@ -199,13 +202,13 @@ def _short(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(small, pa.binary()), pa.array([len(x) for x in full], pa.int64())], names=["rep", "items", "n"])
 
 
-def near_dup(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id, kept."""
+def _labelled(docs: DataFrame, n: int, percent: int) -> DataFrame:
+    """One row per document: doc_id, t (hash of the text), n_shingles, and of its component the least (doc_id, t) as m."""
     least = least_matches(percent)
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    signed = checkpoint(own.mapInArrow(lambda it: _sign(it, n), "doc_id long, n_shingles long, h1 long, h2 long, sig binary, keys binary"))
-    classes = signed.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("h1", "h2").agg(F.min("doc_id").alias("rep"), F.first("sig").alias("sig"), F.first("keys").alias("keys"))
-    classes = checkpoint(classes)
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("t"))
+    signed = checkpoint(own.mapInArrow(lambda it: _sign(it, n), "doc_id long, t long, n_shingles long, h1 long, h2 long, sig binary, keys binary"))
+    classes = signed.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "t")).alias("m"), F.first("sig").alias("sig"), F.first("keys").alias("keys"))
+    classes = checkpoint(classes.withColumn("rep", F.monotonically_increasing_id()))
 
     # postings of two members or more, each with its hub
     posts = classes.select("rep", "keys").mapInArrow(_post, "key long, rep long")
@@ -219,8 +222,8 @@ def near_dup(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     pairs = pairs.join(sig.toDF("a", "sa"), "a").join(sig.toDF("b", "sb"), "b").select("a", "b", "sa", "sb").mapInArrow(lambda it: _matches(it, least), "a long, b long")
 
     # full sets of all that share a posting, once
-    wanted = posts.select(F.col("rep").alias("doc_id")).distinct()
-    full = checkpoint(own.join(wanted, "doc_id", "left_semi").mapInArrow(lambda it: _sets(it, n), "rep long, items binary"))
+    wanted = classes.select("m.doc_id", "m.t", "rep").join(posts.select("rep").distinct(), "rep", "left_semi")
+    full = checkpoint(own.join(wanted, ["doc_id", "t"]).select("rep", "text").mapInArrow(lambda it: _sets(it, n), "rep long, items binary"))
     links = checkpoint(_linked(full, pairs, percent))
     labels = components(links)
     for exact in (False, True):
@@ -231,10 +234,17 @@ def near_dup(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
             labels = components(links)
         if more.join(new, ["a", "b"], "left_anti").isEmpty():
             break  # else short hashes have led a block astray; full ones do not
-    component = classes.select("h1", "h2", "rep").join(labels, classes["rep"] == labels["node"], "left").select("h1", "h2", F.coalesce("label", "rep").alias("component_id"))
-    out = signed.select("doc_id", "n_shingles", "h1", "h2").join(component, ["h1", "h2"], "left")
-    component_id = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", "n_shingles", component_id.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+    named = classes.select("h1", "h2", "m", "rep").join(labels, classes["rep"] == labels["node"], "left").select("h1", "h2", "m", F.coalesce("label", "rep").alias("label"))
+    low = named.groupBy("label").agg(F.min("m").alias("m"))
+    component = named.drop("m").join(low, "label").select("h1", "h2", "m")
+    return signed.select("doc_id", "t", "n_shingles", "h1", "h2").join(component, ["h1", "h2"], "left").drop("h1", "h2")
+
+
+def near_dup(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id, kept."""
+    component_id = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("m.doc_id"))
+    out = _labelled(docs, n, percent).select("doc_id", "n_shingles", component_id.alias("component_id"))
+    return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
 def _linked(full: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
@@ -262,9 +272,16 @@ def _across(posts: DataFrame, classes: DataFrame, full: DataFrame, labels: DataF
 
 
 def near_dedup(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
-    """The documents without all but the smallest doc_id of each component."""
-    gone = near_dup(docs, n, percent).where("NOT kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*[f"`{c}`" for c in docs.columns])
+    """The documents without all rows but one of each component: that of the smallest doc_id, then hash of its text."""
+    own = _labelled(docs, n, percent).where("n_shingles > 0 AND doc_id IS NOT NULL")
+    rows = checkpoint(own.groupBy("doc_id", F.col("t").alias("__near_t")).agg(F.first("m").alias("m"), F.count("*").alias("c")))
+    gone = rows.where("NOT (doc_id = m.doc_id AND __near_t = m.t)").select("doc_id", "__near_t")
+    out = docs.withColumn("__near_t", F.xxhash64("text")).join(gone, ["doc_id", "__near_t"], "left_anti")
+    twice = rows.where("c > 1").select("doc_id", "__near_t")
+    if not twice.isEmpty():  # equal texts of one doc_id
+        one = out.join(twice, ["doc_id", "__near_t"], "left_semi").dropDuplicates(["doc_id", "__near_t"])
+        out = out.join(twice, ["doc_id", "__near_t"], "left_anti").unionByName(one)
+    return out.select(*[f"`{c}`" for c in docs.columns])
 
 
 def op6(spark, sf_dir: str) -> DataFrame:

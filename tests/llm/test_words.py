@@ -158,6 +158,20 @@ def test_near_dup(spark, none, n):
         assert sorted((x["doc_id"], x["kept"]) for x in odd if x["doc_id"]) == [(9, True), (9, True)] and len(odd) == 3
 
 
+def test_near_dup_repeated_ids(spark):
+    """Different texts under one doc_id are judged each for itself, and of equal ones one stays."""
+    a = [f"a{k}" for k in range(60)]
+    near, far, other = " ".join([*a[:-1], "end"]), " ".join(f"z{k}" for k in range(40)), " ".join(f"y{k}" for k in range(40))
+    a = " ".join(a)
+    rows = [(3, a), (5, near), (5, far), (7, other), (7, other), (8, far + " more"), (9, ""), (9, ""), (None, other)]
+    got = near_dup.near_dup(frame(spark, rows)).where("doc_id < 9").select("doc_id", "component_id", "kept").collect()
+    assert sorted(map(tuple, got)) == [(3, 3, True), (5, 3, False), (5, 5, True), (7, 7, True), (7, 7, True), (8, 5, False)]
+    kept = near_dup.near_dedup(frame(spark, rows)).select("doc_id", "text").collect()
+    assert Counter(map(tuple, kept)) == Counter([(3, a), (5, far), (7, other), (9, ""), (9, ""), (None, other)])
+    # two near texts under one doc_id are one component
+    assert near_dup.near_dedup(frame(spark, [(4, a), (4, near)])).count() == 1
+
+
 def chunk_brute(rows):
     """The same boundaries by the module's line hashes, removal by plain comparison."""
     import numpy as np
