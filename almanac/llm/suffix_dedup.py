@@ -1,23 +1,30 @@
 """Suffix-array dedup of byte strings by prefix doubling.
 
 A string of ``length`` bytes that starts in two places is found as a suffix
-array would find it: places get the name of their first 1, 2, 4, ... bytes, each
-from two names of half the length, and a place leaves as soon as its name is
-unique. Names are hashes, equal on all tasks without an exchange, in place of
-the dense ranks of a global sort (of which one round moves some sixteen bytes a
-byte of text). So only lengths at which places can leave are exchanged:
-
-1. ``length / 2`` bytes, at one anchor a window: the smallest name among those
-   that start in the window's first half, the last one of equals. A window
-   recurs only with its anchor, so windows of unique anchors leave.
-2. All bytes that the windows of one anchor cover. Where these recur as a whole,
-   all these windows do: they are settled. One of each kind stays as witness.
-3. ``length`` bytes, for the windows that are left and the witnesses.
-
-Each byte of a window that starts anywhere else too is removed, overlaps
-included. Texts are UTF-8 bytes, nulls are empty, shorter texts lose nothing;
-rows are judged each for itself, whatever their doc_id; matches never cross
-documents. Other columns do not matter here.
+array would find it: places are sorted by pairs of the rank of their first bytes
+and the rank a step further on, get a new rank, and leave as soon as it is
+unique. Short prefixes are named within a task, by doubling, since equal bytes
+have equal names everywhere; Spark moves places only at lengths where many of
+them leave:
+
+1. ``EARLY // 2`` bytes, at one anchor a window of ``EARLY`` bytes: the smallest name
+   in the window's first half, the last one of equals. A window recurs only
+   with its anchor, so windows of unique anchors leave.
+2. Whole stretches: all bytes that the windows of one anchor cover, of either
+   length. Where these recur as a whole, all these windows do: they are settled.
+   One stretch of each kind stays as witness.
+3. ``EARLY`` bytes, for the places that are left: pairs of the names of both halves
+   are sorted over ranges of names, and ranked.
+4. ``length`` bytes, for the places whose rank is shared: pairs of this rank and the
+   name of the last ``EARLY`` bytes are sorted and ranked again.
+
+Each byte of a window of ``length`` bytes that starts anywhere else too is
+removed, overlaps included; ``n_repeated`` counts the bytes in such strings of
+``EARLY`` bytes, which shorter repeated passages have too. Texts are UTF-8 bytes,
+nulls are empty, shorter texts lose nothing; rows are judged each for itself,
+whatever their doc_id, which may be null; matches never cross documents. An
+empty table gives no rows. Other columns do not matter here. A batch holds one
+text at least, so a very long text takes some forty bytes of memory for each of its bytes.
 """
 
 from __future__ import annotations
@@ -32,8 +39,8 @@ from pyspark.sql import functions as F
 from almanac.llm import exchange as ex
 from almanac.llm import textnp as tn
 
-LENGTH = 400
-OUT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
+LENGTH, EARLY = 400, 256
+OUT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, n_repeated long, kept binary"
 _PLACE = np.uint64((1 << 24) - 1)
 _TOP48 = np.uint64(0xFFFFFFFFFFFF0000)
 
@@ -82,12 +89,17 @@ def anchors(buf: np.ndarray, off: np.ndarray, length: int) -> tuple[np.ndarray,
     return first, last, at, h[at]
 
 
-def _notes(length: int):
-    """Of each run: first window, length, and the names of its anchor and of all that it covers."""
+def _ends(off: np.ndarray, last: np.ndarray, length: int) -> np.ndarray:
+    """Ends of stretches: all that windows of either length cover, in their document."""
+    return np.minimum(last + length, off[np.searchsorted(off, last, side="right")])
+
+
+def _notes(early: int, length: int):
+    """Of each run: first window, length, and the names of its anchor and of its stretch."""
 
     def run(buf: np.ndarray, off: np.ndarray) -> bytes:
-        first, last, at, name = anchors(buf, off, length)
-        whole = tn.span_hash(buf, first, last + length) if len(first) else name
+        first, last, at, name = anchors(buf, off, early)
+        whole = tn.span_hash(buf, first, _ends(off, last, length)) if len(first) else name
         whole = tn.mix(whole * np.uint64(3) + (at - first).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
         return ex.encode(first.astype(np.uint64), last - first, name, whole)
 
@@ -161,64 +173,127 @@ def _flags(name: np.ndarray, whole: np.ndarray, got: pa.Table) -> np.ndarray:
     return out
 
 
-_OTHER = tn.mix(tn.BYTE_VALUE) | np.uint64(1)
-
-
-def _check(buf: np.ndarray, start: np.ndarray, length: int) -> np.ndarray:
-    """A second name of the windows, of 32 bits, from other values of the bytes."""
-    up, down = tn.POWERS.get(len(buf) + 1)
-    pre = np.zeros(len(buf) + 1, np.uint64)
-    np.cumsum(_OTHER[buf] * up[:-1], out=pre[1:])
-    return tn.mix((pre[start + length] - pre[start]) * down[start]) >> np.uint64(32)
-
-
-def _sent_windows(batch: pa.Table, got: pa.Table, length: int) -> tuple[np.ndarray, ...]:
-    """Runs with their verdicts; and the starts, names and checks of the windows to compare."""
+def _left(batch: pa.Table, got: pa.Table) -> tuple[np.ndarray, ...]:
+    """Runs with their verdicts, and the places that are left to compare."""
     first, last, name, whole = _runs(batch)
     flag = _flags(name, whole, got)
     own = np.flatnonzero(flag >= 2)
-    # of several equal contexts in the batch one is enough
+    # of several equal stretches in the batch one is enough
     own = own[np.unique(np.stack((name[own], whole[own])), axis=1, return_index=True)[1]] if len(own) else own
     size = last[own] - first[own] + 1
-    at = np.repeat(first[own] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+    return first, last, flag, np.repeat(first[own] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+
+
+def _halves(buf: np.ndarray, at: np.ndarray, early: int) -> tuple[np.ndarray, np.ndarray]:
+    """Names of both halves of the ``early`` bytes from each place."""
     if not len(at):
-        return first, last, flag, at, np.zeros(0, np.uint64), np.zeros(0, np.uint64)
-    _, buf, _ = ex.unpack(batch)
-    return first, last, flag, at, tn.span_hash(buf, at, at + length), _check(buf, at, length)
+        return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+    h = names(buf, early // 2)
+    return h[at], h[at + early - early // 2]
+
+
+def _pairs(batch: int, bits: int, a: np.ndarray, b: np.ndarray) -> pa.Table:
+    """The distinct pairs of a batch in order, each with whether it stands there repeatedly."""
+    order = np.lexsort((b, a))
+    a, b = a[order], b[order]
+    begin = np.flatnonzero(ex.starts(a, b))
+    multi = (np.diff(np.append(begin, len(a))) > 1).astype(np.uint64)
+    return ex.send(batch, bits, a[begin], b[begin], multi)
+
+
+def _ranked(sent: DataFrame, bits: int) -> DataFrame:
+    """Back to each batch: its pairs that stand in several places, with their rank in the order of all pairs.
+
+    A bucket holds a range of first members, so the buckets in turn are the whole order.
+    """
+
+    def run(table: pa.Table) -> pa.Table:
+        a, (b, multi), of = ex.gather(table)
+        order = np.lexsort((b, a))
+        a, b, multi, of = a[order], b[order], multi[order], of[order]
+        begin = np.flatnonzero(ex.starts(a, b))
+        count = np.diff(np.append(begin, len(a)))
+        many = np.repeat((count > 1) | (np.add.reduceat(multi, begin) > 0), count)
+        rank = (np.uint64(table.column("bucket")[0].as_py()) << np.uint64(64 - bits)) + np.repeat(np.arange(len(begin), dtype=np.uint64), count)
+        return ex.reply(table, of, many, a, b, rank)
+
+    return sent.groupBy("bucket").applyInArrow(run, ex.GOT)
 
 
-def _window(bits: int, length: int):
+def _rank_of(a: np.ndarray, b: np.ndarray, got: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Of each pair whether it came back, and its rank."""
+    ga, gb, rank = ex.received(got, 3)
+    both, key = _both(ga, gb), _both(a, b)
+    order = np.argsort(both)
+    at = np.searchsorted(both[order], key)
+    at[at == len(both)] = 0
+    if not len(both):
+        return np.zeros(len(a), bool), np.zeros(len(a), np.uint64)
+    at = order[at]
+    return (ga[at] == a) & (gb[at] == b), rank[at]
+
+
+def _early(bits: int, early: int):
     def run(batch: pa.Table, got: pa.Table) -> pa.Table:
-        z = np.zeros(0, np.uint64)
         if not batch.num_rows or not got.num_rows:
-            return ex.send(0, bits, z, z, z)
-        *_, full, check = _sent_windows(batch, got, length)
-        order = np.lexsort((check, full))
-        full, check = full[order], check[order]
-        begin = np.flatnonzero(ex.starts(full, check))
-        multi = (np.diff(np.append(begin, len(full))) > 1).astype(np.uint64)
-        return ex.send(batch.column("batch")[0].as_py(), bits, full[begin], check[begin], multi)
+            return ex.send(0, bits, *[np.zeros(0, np.uint64)] * 3)
+        *_, at = _left(batch, got)
+        _, buf, _ = ex.unpack(batch)
+        return _pairs(batch.column("batch")[0].as_py(), bits, *_halves(buf, at, early))
 
     return run
 
 
-def _finish(length: int):
+def _late_pairs(buf: np.ndarray, off: np.ndarray, at: np.ndarray, rank: np.ndarray, early: int, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places that have ``length`` bytes, with their rank and the name of their last ``early`` bytes."""
+    fits = at + length <= off[np.searchsorted(off, at, side="right")] if len(at) else np.zeros(0, bool)
+    at, rank = at[fits], rank[fits]
+    return at, rank, tn.span_hash(buf, at + length - early, at + length) if len(at) else rank
+
+
+def _late(bits: int, early: int, length: int):
     def run(batch: pa.Table, got: pa.Table) -> pa.Table:
-        kind = got.column("kind").to_numpy() if got.num_rows else np.zeros(0)
-        two, three = (got.filter(pa.array(kind == k)) if got.num_rows else got for k in (2, 3))
+        if not batch.num_rows or not got.num_rows:
+            return ex.send(0, bits, *[np.zeros(0, np.uint64)] * 3)
+        two, three = _kinds(got, 2, 3)
+        *_, at = _left(batch, two)
+        _, buf, off = ex.unpack(batch)
+        there, rank = _rank_of(*_halves(buf, at, early), three)
+        _, *pair = _late_pairs(buf, off, at[there], rank[there], early, length)
+        return _pairs(batch.column("batch")[0].as_py(), bits, *pair)
+
+    return run
+
+
+def _kinds(got: pa.Table, *kinds: int) -> list[pa.Table]:
+    kind = got.column("kind").to_numpy() if got.num_rows else np.zeros(0)
+    return [got.filter(pa.array(kind == k)) if got.num_rows else got for k in kinds]
+
+
+def _covered(n: int, first: np.ndarray, end: np.ndarray) -> np.ndarray:
+    mark = np.zeros(n + 1, np.int32)
+    np.add.at(mark, first, 1)
+    np.add.at(mark, end, -1)
+    return np.cumsum(mark[:-1]) > 0
+
+
+def _finish(early: int, length: int):
+    def run(batch: pa.Table, got: pa.Table) -> pa.Table:
+        two, three, four = _kinds(got, 2, 3, 4)
         ids, buf, off = ex.unpack(batch)
-        mark = np.zeros(len(buf) + 1, np.int32)
+        gone = again = np.zeros(len(buf), bool)
         if two.num_rows:
-            first, last, flag, at, full, check = _sent_windows(batch, two, length)
+            first, last, flag, at = _left(batch, two)
             settled = (flag & np.uint64(1)) > 0
-            np.add.at(mark, first[settled], 1)
-            np.add.at(mark, last[settled] + length, -1)
-            k, c = ex.received(three, 2)
-            # names are hashes, so key and check together are one more hash
-            twice = at[ex.found(_both(full, check), np.sort(_both(k, c)))]
-            np.add.at(mark, twice, 1)
-            np.add.at(mark, twice + length, -1)
-        gone = np.cumsum(mark[:-1]) > 0
+            first, last = first[settled], last[settled]
+            there, rank = _rank_of(*_halves(buf, at, early), three)
+            at = at[there]
+            again = _covered(len(buf), np.concatenate((first, at)), np.concatenate((last, at)) + early)
+            end = _ends(off, last, length)
+            whole = end - first >= length
+            at, *pair = _late_pairs(buf, off, at, rank[there], early, length)
+            at = at[_rank_of(*pair, four)[0]]
+            gone = _covered(len(buf), np.concatenate((first[whole], at)), np.concatenate((end[whole], at + length)))
         lost = np.concatenate(([0], np.cumsum(gone)))
         head = gone.copy()
         head[1:] &= ~gone[:-1]
@@ -233,6 +308,7 @@ def _finish(length: int):
                 "n_removed": pa.array(np.diff(lost[off]), pa.int64()),
                 "n_spans": pa.array(np.diff(heads[off]), pa.int64()),
                 "kept_sha256": pa.array([hashlib.sha256(t).hexdigest() for t in kept], pa.string()),
+                "n_repeated": pa.array(np.diff(np.concatenate(([0], np.cumsum(again)))[off]), pa.int64()),
                 "kept": pa.array(kept, pa.binary()),
             }
         )
@@ -244,19 +320,22 @@ def _both(key: np.ndarray, check: np.ndarray) -> np.ndarray:
     return tn.mix(key * np.uint64(0x9E3779B97F4A7C15) + check)
 
 
-def suffix_dedup(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and the kept bytes, per document."""
-    if length < 2:
-        raise ValueError("a window has two bytes at least")
+def suffix_dedup(docs: DataFrame, length: int = LENGTH, early: int = EARLY) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, n_repeated and the kept bytes, per document.
+
+    ``early`` is at most ``length``; n_repeated counts bytes in repeated strings of so many.
+    """
+    if not 2 <= early <= length:
+        raise ValueError("two bytes at least, and early <= length")
     bits = ex.bucket_bits(docs)
-    packed = ex.pack(docs, _notes(length)).repartition(ex.parts(docs), "batch")
+    packed = ex.pack(docs, _notes(early, length)).repartition(ex.parts(docs), "batch")
     one = ex.shared(ex.each(packed, _reveal(bits), ex.SENT))
-    two = _settle(ex.per_batch(packed, one, _context(bits), ex.SENT))
-    three = ex.shared(ex.per_batch(packed, two, _window(bits, length), ex.SENT))
-    got = two.withColumn("kind", F.lit(2)).union(three.withColumn("kind", F.lit(3)))
-    return ex.per_batch(packed, got, _finish(length), OUT)
+    two = _settle(ex.per_batch(packed, one, _context(bits), ex.SENT)).withColumn("kind", F.lit(2))
+    three = _ranked(ex.per_batch(packed, two, _early(bits, early), ex.SENT), bits).withColumn("kind", F.lit(3))
+    four = _ranked(ex.per_batch(packed, two.union(three), _late(bits, early, length), ex.SENT), bits).withColumn("kind", F.lit(4))
+    return ex.per_batch(packed, two.union(three).union(four), _finish(early, length), OUT)
 
 
 def op5(spark, sf_dir: str) -> DataFrame:
-    """Bytes of each document in 400-byte strings that stand anywhere else."""
+    """Bytes of each document in 400-byte strings that stand anywhere else; n_repeated: the same of 256 bytes."""
     return suffix_dedup(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("kept")

@@ -12,25 +12,38 @@ from almanac.llm import fingerprint, packing, suffix_dedup
 from tests.llm.conftest import frame
 
 
-@pytest.mark.parametrize("length", [400, 37])
-def test_suffix_dedup(docs, none, rows, length):
+def repeated(rows, length):
+    """Of each text, which bytes lie in a string of so many that starts anywhere else."""
     count = Counter()
     for _, t in rows:
         b = (t or "").encode()
         count.update(b[k : k + length] for k in range(len(b) - length + 1))
-    want = []
-    for i, t in rows:
+    for _, t in rows:
         b = (t or "").encode()
         gone = np.zeros(len(b), bool)
         for k in range(len(b) - length + 1):
             if count[b[k : k + length]] > 1:
                 gone[k : k + length] = True
+        yield b, gone
+
+
+@pytest.mark.parametrize(("length", "early"), [(400, 256), (37, 20), (300, 37), (50, 50)])
+def test_suffix_dedup(docs, none, rows, length, early):
+    want = []
+    for (i, _), (b, gone), (_, again) in zip(rows, repeated(rows, length), repeated(rows, early), strict=True):
         spans = int((gone & ~np.concatenate(([False], gone[:-1]))).sum()) if len(b) else 0
-        want.append((i, len(b), int(gone.sum()), spans, hashlib.sha256(np.frombuffer(b, np.uint8)[~gone].tobytes()).hexdigest()))
-    got = suffix_dedup.suffix_dedup(docs, length).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").collect()
+        want.append((i, len(b), int(gone.sum()), spans, hashlib.sha256(np.frombuffer(b, np.uint8)[~gone].tobytes()).hexdigest(), int(again.sum())))
+    got = suffix_dedup.suffix_dedup(docs, length, early).drop("kept").collect()
     assert Counter(map(tuple, got)) == Counter(want)
     assert sum(x[2] for x in want) > 500
-    assert suffix_dedup.suffix_dedup(none, length).count() == 0
+    assert suffix_dedup.suffix_dedup(none, length, early).count() == 0
+
+
+def test_ranks_decide_what_is_repeated(docs, monkeypatch):
+    """Places leave by their rank: with every rank unique only settled stretches are found."""
+    found = suffix_dedup.suffix_dedup(docs, 37, 20).agg({"n_removed": "sum"}).first()[0]
+    monkeypatch.setattr(suffix_dedup, "_ranked", lambda sent, bits: sent.select("batch", "names").limit(0))
+    assert suffix_dedup.suffix_dedup(docs, 37, 20).agg({"n_removed": "sum"}).first()[0] < found
 
 
 def test_packing(spark, docs, none, rows):
