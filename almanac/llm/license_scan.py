@@ -1,7 +1,8 @@
 """License scans by an exact set-similarity join, on built-in functions only.
 
-A text block is a line, or windows of ``BLOCK_WORDS`` words, half overlapping,
-of a longer line. A template is found in a block that holds ``THRESHOLD`` of its
+Text blocks are windows of ``BLOCK_WORDS`` words over the whole text, half
+overlapping, so any notice of up to half as many words lies in one, however its
+lines are broken. A template is found in a block that holds ``THRESHOLD`` of its
 distinct words. All template words are put in one global order by their counts
 over the whole corpus, rarest first. Then
 
@@ -74,8 +75,7 @@ def needed(size: int, percent: int) -> int:
 def license_scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, phrases: dict[str, str] = PHRASES, threshold: float = THRESHOLD) -> DataFrame:
     """One row per document: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score."""
     percent = round(100 * threshold)
-    lowered = docs.select("doc_id", F.lower(F.coalesce("text", F.lit(""))).alias("low"))
-    own = lowered.select("doc_id", "low", words_of(F.col("low")).alias("w"))
+    own = docs.select("doc_id", words_of(F.lower(F.coalesce("text", F.lit("")))).alias("w"))
 
     sets = [sorted(set(text.split())) for _, text in templates]
     vocabulary = sorted({t for s in sets for t in s})
@@ -86,7 +86,7 @@ def license_scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES,
 
     # the phrases, where a document holds them at all
     spaced = F.concat(F.lit(" "), F.replace("w", F.lit(" "), F.lit("  ")), F.lit(" "))
-    own = own.select("doc_id", "low", F.when(F.col("w") == "", "").otherwise(spaced).alias("q"))
+    own = own.select("doc_id", "w", F.when(F.col("w") == "", "").otherwise(spaced).alias("q"))
     n_words = _count(F.col("q"))
     first, last, places, base = [], [], [], []
     for phrase, label in phrases.items():
@@ -109,16 +109,13 @@ def license_scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES,
     for t in sorted({t for t, _, _ in prefixes}, key=rank.get):
         hopeful = hopeful | F.contains("q", F.lit(f" {t} "))
     known = F.array(*[F.lit(t) for t in sorted(vocabulary, key=rank.get)])
-    lines = F.transform(F.split("low", "\n"), lambda x: F.split(words_of(x), " "))
-    half = BLOCK_WORDS // 2
-    windows = F.flatten(
-        F.transform(
-            lines,
-            lambda x: F.when(F.size(x) <= BLOCK_WORDS, F.array(x)).otherwise(F.transform(F.sequence(F.lit(0), F.greatest(F.size(x) - half - 1, F.lit(0)), F.lit(half)), lambda i: F.slice(x, i + 1, BLOCK_WORDS))),
-        )
-    )
+    words, half = F.split("w", " "), BLOCK_WORDS // 2
+    fewest = min(needed(len(s), percent) for s in ordered)
     # of a block only vocabulary words matter: in their global order, as the first argument has it
-    blocks = F.array_distinct(F.filter(F.transform(windows, lambda x: F.array_intersect(known, x)), lambda x: F.size(x) >= min(needed(len(s), percent) for s in ordered)))
+    held = lambda i: F.filter(F.slice(words, i + 1, BLOCK_WORDS), lambda x: x.isin(vocabulary))
+    windows = F.transform(F.sequence(F.lit(0), F.greatest(F.size(words) - half - 1, F.lit(0)), F.lit(half)), held)
+    full_enough = lambda x: F.size(x) >= fewest
+    blocks = F.array_distinct(F.filter(F.transform(F.filter(windows, full_enough), lambda x: F.array_intersect(known, x)), full_enough))
     scanned = own.select(
         F.monotonically_increasing_id().alias("row"),
         "doc_id",

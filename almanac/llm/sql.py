@@ -22,9 +22,7 @@ e AS (SELECT doc_id, unnest(ws) AS w, unnest(range(len(ws))) AS i FROM w),
 g AS (SELECT doc_id, i, w AS w1, w || ' ' || lead(w) OVER o AS w2, w || ' ' || lead(w) OVER o || ' ' || lead(w, 2) OVER o AS w3 FROM e WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
 hits AS (SELECT doc_id, i, label FROM g JOIN p ON phrase = CASE size WHEN 2 THEN w2 ELSE w3 END),
 base AS (SELECT doc_id, count(*) AS n_base, min(i) AS first_word, max(i) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM hits GROUP BY doc_id),
-lines AS (SELECT doc_id, regexp_extract_all(line, {_ALNUM}) AS ws FROM (SELECT doc_id, unnest(string_split(low, chr(10))) AS line FROM d)),
-blocks AS (SELECT doc_id, ws AS b FROM lines WHERE len(ws) BETWEEN 1 AND {full}
-  UNION ALL SELECT doc_id, list_slice(ws, s + 1, s + {full}) FROM (SELECT doc_id, ws, unnest(range(0, len(ws) - {half}, {half})) AS s FROM lines WHERE len(ws) > {full})),
+blocks AS (SELECT doc_id, list_slice(ws, s + 1, s + {full}) AS b FROM (SELECT doc_id, ws, unnest(range(0, greatest(len(ws) - {half}, 1), {half})) AS s FROM w)),
 found AS (SELECT doc_id, label, len(list_intersect(words, b)) / len(words) AS share FROM blocks, t WHERE 100 * len(list_intersect(words, b)) >= {round(100 * license_scan.THRESHOLD)} * len(words)),
 more AS (SELECT doc_id, max(share) AS share FROM found GROUP BY doc_id),
 every AS (SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM (SELECT doc_id, label FROM found UNION SELECT doc_id, label FROM hits) GROUP BY doc_id)
