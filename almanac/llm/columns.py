@@ -13,6 +13,14 @@ def plus(schema: StructType, more: str) -> StructType:
     return StructType([*schema.fields, *StructType.fromDDL(more).fields])
 
 
+def _aside(columns: list[str], those: Callable[[str], bool]) -> dict[str, str]:
+    """New names, which no column has, for the columns to put aside."""
+    own = "__own"
+    while any(c.lower().startswith(own) for c in columns):
+        own += "_"
+    return {c: f"{own}{k}" for k, c in enumerate(columns) if those(c)}
+
+
 def keeping(docs: DataFrame, taken: tuple[str, ...], f: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """``f`` of the documents, with the documents' columns and no others.
 
@@ -20,6 +28,16 @@ def keeping(docs: DataFrame, taken: tuple[str, ...], f: Callable[[DataFrame], Da
     under other names, and come back as they were; so do names with a dot, which
     Arrow functions cannot take.
     """
-    aside = {c: f"__own_{k}" for k, c in enumerate(docs.columns) if c.lower() in taken or "." in c}
+    aside = _aside(docs.columns, lambda c: c.lower() in taken or "." in c)
     out = f(docs.withColumnsRenamed(aside))
     return out.drop(*[c for c in taken if c not in aside.values()]).withColumnsRenamed({v: k for k, v in aside.items()}).select(*[f"`{c}`" for c in docs.columns])
+
+
+def adding(docs: DataFrame, added: tuple[str, ...], f: Callable[[DataFrame], DataFrame], used: tuple[str, ...] = ()) -> DataFrame:
+    """``f`` of the documents without columns of the ``added`` names.
+
+    Names with a dot, and those that ``f`` has used for columns of its own, are put aside and come back.
+    """
+    docs = docs.drop(*added)
+    aside = _aside(docs.columns, lambda c: "." in c or c.lower() in used)
+    return f(docs.withColumnsRenamed(aside)).withColumnsRenamed({v: k for k, v in aside.items()})

@@ -34,11 +34,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from almanac.llm import textnp as tn
-from almanac.llm.columns import keeping, plus
+from almanac.llm.columns import adding, keeping, plus
 
 #: A boundary stands behind a line in so many on average.
 EVERY = 4
-_REPEATS = "__line_repeats"
+_REPEATS, _ADDED = "__line_repeats", ("n_lines", "n_removed")
 
 
 def lines(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -135,12 +135,16 @@ def _remove(it: Iterator[pa.RecordBatch], every: int) -> Iterator[pa.RecordBatch
 
 def mark(docs: DataFrame, every: int = EVERY) -> DataFrame:
     """The documents with their text cleaned, n_lines and n_removed (lines)."""
+    return adding(docs, _ADDED, lambda d: _mark(d, every), (_REPEATS,))
+
+
+def _mark(docs: DataFrame, every: int) -> DataFrame:
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id IS NOT NULL")
     full = own.mapInArrow(lambda it: _chunks(it, every, True), "doc_id long, h long, bytes binary")
     repeated = full.groupBy("h", "bytes").agg(F.count("*").alias("n"), F.min("doc_id").alias("owner")).where("n > 1").drop("n")
     places = own.mapInArrow(lambda it: _chunks(it, every, False), "doc_id long, h long").distinct()
     known = places.join(repeated, "h").groupBy("doc_id").agg(F.collect_list(F.struct("h", "bytes", "owner")).alias(_REPEATS))
-    held = docs.drop("n_lines", "n_removed").join(known, "doc_id", "left")
+    held = docs.join(known, "doc_id", "left")
     return held.mapInArrow(lambda it: _remove(it, every), plus(held.drop(_REPEATS).schema, "n_lines long, n_removed long"))
 
 
@@ -248,7 +252,10 @@ def _clear(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def runs(docs: DataFrame) -> DataFrame:
     """The documents without the runs of lines that stand earlier, n_lines and n_removed (lines)."""
-    docs = docs.drop("n_lines", "n_removed")
+    return adding(docs, _ADDED, _runs, (_REPEATS,))
+
+
+def _runs(docs: DataFrame) -> DataFrame:
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id IS NOT NULL")
     places = own.mapInArrow(_places, "doc_id long, h long, n long")
     repeated = places.groupBy("h").agg(F.sum("n").alias("n")).where("n > 1").select("h")
@@ -277,7 +284,7 @@ def line_dedup(docs: DataFrame) -> DataFrame:
         length = F.length("text").cast(docs.schema["n_chars"].dataType)
         return out.withColumn("n_chars", F.when(F.col("n_removed") > 0, length).otherwise(F.col("n_chars")))
 
-    return keeping(docs, ("n_lines", "n_removed"), clean)
+    return keeping(docs, _ADDED, clean)
 
 
 def op10(spark, sf_dir: str) -> DataFrame:
