@@ -3,14 +3,19 @@
 Documents are turned into token ids and packed into windows of ``CAPACITY``
 tokens. A document longer than a window gives whole windows first; what is left
 of it, and every shorter document, goes to a group of about ``GROUP_WINDOWS``
-windows' tokens. Within a group, partial partitions with the widest spread are
-merged so that the largest part of one meets the smallest of the other. The
-windows come out near-equal; if one exceeds the capacity, their number rises
-by one and the group is packed anew.
-
-Groups are made from the rows of one input partition as they stream by, so
-there is no shuffle, and a task holds one group. Null and empty texts have the
-end id alone; repeated rows are packed each; an empty table gives no rows.
+windows' tokens (or ``GROUP_PIECES`` pieces). Within a group, partial partitions
+with the widest spread are merged so that the largest part of one meets the
+smallest of the other. The windows come out near-equal; if one exceeds the
+capacity, their number rises by one and the group is packed anew. A partial
+partition holds its parts that are not empty and no others, so memory follows the
+pieces; pieces of a few tokens travel in bundles of ``BUNDLE``.
+
+Groups are made from the rows of one input partition as they stream by. The last
+group of a partition is not full: ``CARRY`` neighbouring partitions send the places
+of their last pieces (not the tokens) to one task, which packs them together, so
+padding does not follow the partitioning. Null and empty texts have the
+end id alone; repeated rows are packed each; an empty table gives no rows; columns
+other than doc_id and text are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -22,6 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,7 +36,9 @@ from almanac.llm import textnp as tn
 
 CAPACITY = 4096
 END_ID = 2
-GROUP_WINDOWS = 256
+GROUP_WINDOWS, GROUP_PIECES, BUNDLE = 256, 1 << 17, 64
+#: Input partitions whose last groups are packed together.
+CARRY = 16
 #: Distinct units whose ids a task remembers.
 CACHE_WORDS = 500_000
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -152,61 +160,74 @@ class WordTokens:
 
 
 def difference(sizes: list[int], parts: int) -> np.ndarray:
-    """The part of each item, by multiway differencing; ties go by order."""
-    if parts == 1 or not sizes:
-        return np.zeros(len(sizes), np.int64)
-    heap: list[tuple[int, int]] = []
-    sums: dict[int, np.ndarray] = {}
-    merges: list[tuple[int, int, np.ndarray]] = []
-    for i, x in enumerate(sizes):
-        v = np.zeros(parts, np.int64)
-        v[0] = x  # kept in falling order, less its smallest
-        sums[i] = v
-        heap.append((-x, i))
-    heapq.heapify(heap)
+    """The part of each item, by multiway differencing; ties go by order.
+
+    A partial partition is its sums in falling order, less the smallest where all
+    parts are taken, with one item that stands for each part. Parts that are
+    joined point to one another, so nothing is kept of the merges.
+    """
     n = len(sizes)
+    if parts == 1 or not n:
+        return np.zeros(n, np.int64)
+    up = np.arange(n)
+    state = {i: (np.array([x], np.int64), np.array([i])) for i, x in enumerate(sizes)}
+    heap = [(-x, i) for i, x in enumerate(sizes)]
+    heapq.heapify(heap)
     while len(heap) > 1:
-        _, a = heapq.heappop(heap)
-        _, b = heapq.heappop(heap)
-        v = sums.pop(a) + sums.pop(b)[::-1]
-        order = np.argsort(-v, kind="stable")
-        v = v[order]
-        v -= v[-1]
-        sums[n] = v
-        merges.append((a, b, order))
-        heapq.heappush(heap, (-int(v[0]), n))
+        (sa, pa_), (sb, pb) = (state.pop(heapq.heappop(heap)[1]) for _ in range(2))
+        free = parts - len(sa)
+        if len(sb) > free:  # the smallest parts of one meet the largest of the other's rest
+            meet = parts - 1 - np.arange(free, len(sb))
+            sa = sa.copy()
+            sa[meet] += sb[free:]
+            up[pb[free:]] = pa_[meet]
+        sums, of = np.concatenate((sa, sb[:free])), np.concatenate((pa_, pb[:free]))
+        order = np.argsort(-sums, kind="stable")
+        sums = sums[order]
+        if len(sums) == parts:
+            sums -= sums[-1]
+        state[n] = (sums, of[order])
+        heapq.heappush(heap, (-int(sums[0]), n))
         n += 1
-    place: dict[int, np.ndarray] = {n - 1: np.arange(parts)}
-    out = np.zeros(len(sizes), np.int64)
-    for k in range(len(merges) - 1, -1, -1):
-        a, b, order = merges[k]
-        own = place.pop(len(sizes) + k)
-        left = np.empty(parts, np.int64)
-        left[order] = own
-        for child, where in ((a, left), (b, left[::-1])):
-            if child < len(sizes):
-                out[child] = where[0]
-            else:
-                place[child] = where
-    if len(sizes) == 1:
-        out[0] = 0
-    return out
+    while (up != up[up]).any():
+        up = up[up]
+    number = np.zeros(len(sizes), np.int64)
+    last = state.popitem()[1][1]
+    number[last] = np.arange(len(last))
+    return number[up]
 
 
 def windows(sizes: list[int], capacity: int = CAPACITY) -> np.ndarray:
     """The window of each item; the fewest that differencing can fill."""
-    total, sizes_ = sum(sizes), np.array(sizes, np.int64)
-    parts = max(1, -(-total // capacity))
+    sizes_ = np.array(sizes, np.int64)
+    parts = max(1, -(-int(sizes_.sum()) // capacity), int((2 * sizes_ > capacity).sum()))
     while True:
         of = difference(sizes, parts)
-        if np.bincount(of, sizes_, parts).max() <= capacity:
+        if np.bincount(of, sizes_, parts).max(initial=0) <= capacity:
             return of
         parts += 1
 
 
+def bundles(sizes: list[int], least: int = BUNDLE) -> np.ndarray:
+    """The bundle of each piece: small pieces join until they have ``least`` tokens, others are alone."""
+    out, held, n, own = np.zeros(len(sizes), np.int64), 0, 0, -1
+    for i, x in enumerate(sizes):
+        if x >= least:
+            out[i], n = n, n + 1
+            continue
+        if own < 0:
+            own, n = n, n + 1
+        out[i], held = own, held + x
+        if held >= least:
+            own, held = -1, 0
+    return out
+
+
 class _Packer:
-    def __init__(self, task: int, capacity: int) -> None:
-        self.capacity, self.next = capacity, task << 33
+    """Places of pieces: those of whole windows and full groups at once, the others when flushed."""
+
+    def __init__(self, first: int, capacity: int) -> None:
+        self.capacity, self.next = capacity, first
         self.rows: list[tuple] = []
         self.rest: list[tuple] = []
         self.held = 0
@@ -219,16 +240,21 @@ class _Packer:
             self.next += 1
             at += self.capacity
         if at < n:
-            self.rest.append((doc, at, n - at, zlib.crc32(ids[at:]), n))
-            self.held += n - at
-            if self.held >= GROUP_WINDOWS * self.capacity:
-                self.flush()
+            self.piece((doc, at, n - at, zlib.crc32(ids[at:]), n))
+
+    def piece(self, piece: tuple) -> None:
+        self.rest.append(piece)
+        self.held += piece[2]
+        if self.held >= GROUP_WINDOWS * self.capacity or len(self.rest) >= GROUP_PIECES:
+            self.flush()
 
     def flush(self) -> None:
         if not self.rest:
             return
         fill: dict[int, int] = {}
-        of = windows([r[2] for r in self.rest], self.capacity).tolist()
+        sizes = [r[2] for r in self.rest]
+        tied = bundles(sizes, min(BUNDLE, self.capacity // 64 + 1))
+        of = windows(np.bincount(tied, sizes).astype(np.int64).tolist(), self.capacity)[tied].tolist()
         number = {w: self.next + i for i, w in enumerate(sorted(set(of)))}
         for r, w in zip(self.rest, of, strict=True):
             self.rows.append((*r, number[w], fill.get(w, 0)))
@@ -237,18 +263,27 @@ class _Packer:
         self.rest, self.held = [], 0
 
     def out(self) -> pa.RecordBatch:
+        """The rows that have a place, with a key that only spreads them."""
         columns = list(zip(*self.rows, strict=True))
+        keys = [-1 - r[5] % 4099 for r in self.rows]
         self.rows = []
-        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=[x.split()[0] for x in SCHEMA.split(", ")])
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (*columns, keys)], names=_NAMES)
+
+    def left(self, key: int) -> pa.RecordBatch:
+        """The pieces that wait for others, numbered, with the key of those they meet."""
+        rows = [(*r, self.next + k, None, key) for k, r in enumerate(self.rest)]
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], names=_NAMES)
 
 
+_NAMES = [x.split()[0] for x in SCHEMA.split(", ")] + ["meet"]
 _TOKENS: dict[str, WordTokens] = {}
 
 
 def _pack(it: Iterator[pa.RecordBatch], path: str, capacity: int) -> Iterator[pa.RecordBatch]:
     tokens = _TOKENS.setdefault(path, None) or WordTokens(path)
     _TOKENS[path] = tokens
-    packer = _Packer(TaskContext.get().partitionId(), capacity)
+    task = TaskContext.get().partitionId()
+    packer = _Packer(task << 33, capacity)
     for rows, buf, off in tn.batches(it):
         ids, at = tokens.encode(buf, off)
         at = at.tolist()
@@ -256,17 +291,35 @@ def _pack(it: Iterator[pa.RecordBatch], path: str, capacity: int) -> Iterator[pa
             packer.add(doc, ids[at[k] : at[k + 1]])
         if packer.rows:
             yield packer.out()
-    packer.flush()
-    if packer.rows:
-        yield packer.out()
+    if packer.rest:
+        yield packer.left(task // CARRY)
+
+
+def _carry(it: Iterator[pa.RecordBatch], capacity: int) -> Iterator[pa.RecordBatch]:
+    """Rows that have a place, as they are; then those that wait, by their key."""
+    waiting: dict[int, list[tuple]] = {}
+    for rows in it:
+        placed = pc.less(rows.column(7), 0)
+        yield rows.filter(placed).select(_NAMES[:-1])
+        left = rows.filter(pc.invert(placed))
+        for r in zip(*(c.to_pylist() for c in left.columns), strict=True):
+            waiting.setdefault(r[7], []).append((r[5], r[:5]))
+    for key in sorted(waiting):
+        packer = _Packer((1 << 62) + (key << 33), capacity)
+        for _, piece in sorted(waiting.pop(key), key=lambda x: x[0]):
+            packer.piece(piece)
+        packer.flush()
+        yield packer.out().select(_NAMES[:-1])
 
 
 def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFrame:
     """Pieces of the documents' ids with their window and place in it.
 
-    ``tokenizer`` is the path of a vocabulary file that every executor has.
+    ``tokenizer`` is the path of a vocabulary file that every executor has. The
+    shuffle moves a row of eight numbers a piece, no text and no token.
     """
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(lambda it: _pack(it, tokenizer, capacity), SCHEMA)
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(lambda it: _pack(it, tokenizer, capacity), SCHEMA + ", meet long")
+    return own.repartition("meet").mapInArrow(lambda it: _carry(it, capacity), SCHEMA)
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
