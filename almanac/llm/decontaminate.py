@@ -12,9 +12,12 @@ words, or with a null id, are ignored; repeated documents are judged each for
 itself; an empty benchmark hits nothing. Other columns of the documents pass
 through ``decontaminate`` untouched.
 
-The items are the small side: they are sent to the tasks in blocks of at most
-``BLOCK_WORDS`` words, one automaton and one streaming pass a block, so that
-no task holds more than that however large the benchmark is.
+The items are the small side: they go to the tasks in blocks of at most
+``BLOCK_WORDS`` words (or one item), one automaton and one pass over the documents
+a block. A pass is written before the next one begins, so that the driver holds one
+block and a task one automaton, however large the benchmark is. A bitmap of the
+windows' hashes says where the automaton need not look; it errs to one side only,
+and what is hit is decided by the automaton's matching lengths.
 """
 
 from __future__ import annotations
@@ -27,12 +30,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from almanac.llm import textnp as tn
-from almanac.llm.columns import keeping, plus
+from almanac.llm.columns import adding, keeping, plus
+from almanac.llm.store import checkpoint
 
 WINDOW = 8
 #: Words of one automaton: about 1 kB each in a task's memory.
 BLOCK_WORDS = 200_000
-_FILTER_BITS = 20
+_FILTER_BITS = 23
 
 
 class SuffixAutomaton:
@@ -134,32 +138,23 @@ class SuffixAutomaton:
 
 
 class Matcher:
-    """An automaton behind an exact screen: stretches without any window's hash are skipped."""
+    """An automaton behind a bitmap of the windows' hashes: stretches without any are skipped."""
 
     def __init__(self, items: list[tuple[str, bytes]], window: int) -> None:
         hashed = [(name, np.frombuffer(words, dtype=np.uint64)) for name, words in items]
-        self.window = window
         self.automaton = SuffixAutomaton([(n, w.tolist()) for n, w in hashed], window)
-        keys: dict[int, list[np.ndarray]] = {}
+        self.screen: dict[int, np.ndarray] = {}
         for _, w in hashed:
             if len(w):
                 n = min(window, len(w))
-                keys.setdefault(n, []).append(tn.ngram_hash(w, n))
-        self.keys = {n: np.unique(np.concatenate(k)) for n, k in keys.items()}
-        self.screen = {}
-        for n, k in self.keys.items():
-            self.screen[n] = np.zeros(1 << _FILTER_BITS, dtype=bool)
-            self.screen[n][k >> np.uint64(64 - _FILTER_BITS)] = True
+                self.screen.setdefault(n, np.zeros(1 << _FILTER_BITS, dtype=bool))[tn.ngram_hash(w, n) >> np.uint64(64 - _FILTER_BITS)] = True
 
     def match(self, words: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, dict[int, set[str]]]:
         """Hit words, and the items found in each document that has any."""
         total = len(words)
         near = np.zeros(total, dtype=bool)
-        for n, keys in self.keys.items():
-            h = tn.ngram_hash(words, n)
-            at = np.flatnonzero(self.screen[n][h >> np.uint64(64 - _FILTER_BITS)])
-            k = np.searchsorted(keys, h[at])
-            at = at[keys[np.minimum(k, len(keys) - 1)] == h[at]]
+        for n, screen in self.screen.items():
+            at = np.flatnonzero(screen[tn.ngram_hash(words, n) >> np.uint64(64 - _FILTER_BITS)])
             if len(at):
                 near |= tn.cover(at, n, total)
         hit, found = np.zeros(total, dtype=bool), {}
@@ -177,10 +172,10 @@ class Matcher:
         return hit, found
 
 
-def _items(benchmark: DataFrame) -> list[list[tuple[str, bytes]]]:
-    """Item names and word hashes in blocks; read once, in a stream, by the driver."""
-    blocks: list[list[tuple[str, bytes]]] = [[]]
-    size = 0
+def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[str, bytes]]]:
+    """Item names and word hashes in blocks, streamed through the driver one at a time; one empty block if there are none."""
+    block: list[tuple[str, bytes]] = []
+    size, any_ = 0, False
     rows = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text").where("item_id IS NOT NULL AND text IS NOT NULL")
     for row in rows.toLocalIterator():
         buf, off = tn.flatten(pa.array([row["text"]]))
@@ -189,11 +184,12 @@ def _items(benchmark: DataFrame) -> list[list[tuple[str, bytes]]]:
         if not len(s):
             continue
         if size and size + len(s) > BLOCK_WORDS:
-            blocks.append([])
-            size = 0
+            yield block
+            block, size, any_ = [], 0, True
         size += len(s)
-        blocks[-1].append((row["item_id"], tn.span_hash(buf, s, e).tobytes()))
-    return blocks
+        block.append((row["item_id"], tn.span_hash(buf, s, e).tobytes()))
+    if block or not any_:
+        yield block
 
 
 _MATCHERS: dict[int, Matcher] = {}
@@ -264,13 +260,20 @@ def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, cut: bool
     Columns of those three names in the input are replaced. With ``cut`` the text
     comes without its spans. No shuffle.
     """
-    out = docs.drop("n_words", "hit_items", "hit_spans")
-    blocks = _items(benchmark)
-    for k, block in enumerate(blocks):
-        last = cut and k == len(blocks) - 1
+    return adding(docs, _ADDED, lambda own: _scanned(own, benchmark, window, cut))
+
+
+def _scanned(out: DataFrame, benchmark: DataFrame, window: int, cut: bool) -> DataFrame:
+    blocks = _blocks(benchmark)
+    block = next(blocks)
+    while True:
+        after = next(blocks, None)
         key = hash((window, tuple(block)))
+        last = cut and after is None
         out = out.mapInArrow(lambda it, block=block, key=key, last=last: _scan(it, block, window, key, last), plus(out.drop(*_ADDED).schema, _DDL))
-    return out
+        if after is None:
+            return out
+        out, block = checkpoint(out), after
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_items: int = 2, max_coverage: float = 0.5) -> DataFrame:
