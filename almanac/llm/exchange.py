@@ -147,6 +147,18 @@ def shared(sent: DataFrame) -> DataFrame:
     return sent.groupBy("bucket").applyInArrow(run, GOT)
 
 
+def counted(sent: DataFrame) -> DataFrame:
+    """Back to each batch: its names that stand in several places of all batches, with their number of places."""
+
+    def run(table: pa.Table) -> pa.Table:
+        keys, (n,), of = gather(table)
+        begin = np.flatnonzero(starts(keys))
+        total = np.repeat(np.add.reduceat(n, begin), np.diff(np.append(begin, len(keys))))
+        return reply(table, of, total > 1, keys, total)
+
+    return sent.groupBy("bucket").applyInArrow(run, GOT)
+
+
 def smallest(sent: DataFrame) -> DataFrame:
     """Back to each batch: its (name, check) with the smallest value of all batches, where that is smaller than its own."""
 
