@@ -25,7 +25,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from almanac.llm import textnp as tn
-from almanac.llm.columns import plus
+from almanac.llm.columns import adding, plus
+from almanac.llm.quality import labelled
 
 MAX_LABELLED, MAX_CHARS = 3000, 8_000
 WINDOW, STRIDE = 64, 32
@@ -229,27 +230,21 @@ def train(texts: list[str], labels: np.ndarray, epochs: int = EPOCHS) -> Network
 
 
 def fit(docs: DataFrame, labels: DataFrame, most: int = MAX_LABELLED) -> Network | None:
-    """The network learnt from the labelled rows outside the held-out fifth.
-
-    The ids are sampled first: at most ``most`` rows, so they are broadcast.
-    """
-    learn = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 != 0
-    ids = labels.where(learn & F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("label"))
-    ids = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
-    rows = docs.select("doc_id", "text").where(F.length("text") <= MAX_CHARS).join(F.broadcast(ids), "doc_id").select("doc_id", "text", "label").toPandas().sort_values(["doc_id", "text"])
+    """The network learnt from at most ``most`` labelled rows outside the held-out fifth (see quality.labelled)."""
+    rows = labelled(docs.where(F.length("text") <= MAX_CHARS), labels, "toxic", 5, 0, most).toPandas().sort_values(["doc_id", "text"])
     return train(rows["text"].tolist(), rows["label"].to_numpy())
 
 
 def score(docs: DataFrame, net: Network | None) -> DataFrame:
     """The documents with the column toxicity_score (replaced if there is one)."""
     sent = docs.sparkSession.sparkContext.broadcast(net)
-    docs = docs.drop("toxicity_score")
+
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, buf, off in tn.batches(it):
             s = score_texts(sent.value, buf, off)[0] if sent.value is not None else np.full(rows.num_rows, 0.5)
             yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(s, pa.float64())], names=[*rows.schema.names, "toxicity_score"])
 
-    return docs.mapInArrow(run, plus(docs.schema, "toxicity_score double"))
+    return adding(docs, ("toxicity_score",), lambda own: own.mapInArrow(run, plus(own.schema, "toxicity_score double")))
 
 
 def op7(spark, sf_dir: str) -> DataFrame:
