@@ -2,7 +2,8 @@
 
 Arrays of polynomial hashes of all prefixes, modulo two primes, answer whether
 any two spans are equal in constant time, and find the longest common extension
-of two places by binary search. A fingerprint is the hash of the whole text and,
+of two places by binary search: ``same_head`` and ``same_tail`` are the bytes that
+a text and its edited text share from their starts and up to their ends. A fingerprint is the hash of the whole text and,
 of the hashes of all its spans of ``SPAN`` characters, the smallest in each of
 ``BINS`` classes. Equal texts have equal fingerprints; the likeness of two is
 1 if they are equal, else the estimated share of spans in common (Dice).
@@ -24,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from almanac.llm import textnp as tn
-from almanac.llm.columns import plus
+from almanac.llm.columns import adding, plus
 
 SPAN, BINS = 16, 64
 _PRIMES = (np.uint64(2147483647), np.uint64(2147483629))
@@ -74,13 +75,14 @@ class Prefixes:
         """Whether the ``n`` bytes from each ``a`` are those from each ``b``."""
         return self.hash(a, a + n) == self.hash(b, b + n)
 
-    def common_extension(self, a: np.ndarray, b: np.ndarray, end: int | None = None) -> np.ndarray:
-        """Length of the longest common extension from places a and b."""
-        end = self.n if end is None else end
-        low, high = np.zeros(len(a), np.int64), np.minimum(end - a, end - b)
+    def common_extension(self, a: np.ndarray, b: np.ndarray, most: np.ndarray | None = None, back: bool = False) -> np.ndarray:
+        """Length of the longest common extension from places a and b, ``most`` at most; with ``back`` of what ends there."""
+        if most is None:
+            most = np.minimum(a, b) if back else self.n - np.maximum(a, b)
+        low, high = np.zeros(len(a), np.int64), most.copy()
         while (low < high).any():
             mid = (low + high + 1) // 2
-            same = self.equal(a, b, mid)
+            same = self.equal(a - mid, b - mid, mid) if back else self.equal(a, b, mid)
             low, high = np.where(same, mid, low), np.where(same, high, mid - 1)
         return low
 
@@ -91,10 +93,9 @@ def _characters(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return at, np.searchsorted(at, off)
 
 
-def sketches(buf: np.ndarray, off: np.ndarray, at: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def sketches(pre: Prefixes, buf: np.ndarray, off: np.ndarray, at: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hash of each whole text, and its smallest span hashes by class."""
     docs = len(off) - 1
-    pre = Prefixes(buf)
     whole = tn.mix(pre.hash(off[:-1], off[1:]) ^ (np.diff(off).astype(np.uint64) << np.uint64(40)))
     low = np.full(docs * BINS, _EMPTY, np.uint64)
     count = np.diff(first)
@@ -110,10 +111,10 @@ def sketches(buf: np.ndarray, off: np.ndarray, at: np.ndarray, first: np.ndarray
     return whole, low.reshape(docs, BINS)
 
 
-def fingerprints(buf: np.ndarray, off: np.ndarray) -> tuple[list[str], np.ndarray, np.ndarray]:
+def fingerprints(buf: np.ndarray, off: np.ndarray, pre: Prefixes | None = None) -> tuple[list[str], np.ndarray, np.ndarray]:
     """Fingerprint of each document, with its parts for ``likeness``."""
     at, first = _characters(buf, off)
-    whole, low = sketches(buf, off, at, first)
+    whole, low = sketches(pre or Prefixes(buf), buf, off, at, first)
     # classes keep 16 bits of their smallest hash; 0 is a class without spans
     bits = np.where(low == _EMPTY, 0, (tn.mix(low) >> np.uint64(48)) | np.uint64(1)).astype(np.uint16)
     rows = np.concatenate((whole.astype(">u8").view(np.uint8).reshape(-1, 8), bits.astype(">u2").view(np.uint8).reshape(len(bits), 2 * BINS)), axis=1)
@@ -137,13 +138,13 @@ def compare(a: str, b: str) -> float:
 
 def fingerprint(docs: DataFrame) -> DataFrame:
     """The documents with n_chars and their fingerprint (replaced if there are such). No shuffle."""
-    docs = docs.drop("n_chars", "fingerprint")
+
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, buf, off in tn.batches(it, 1 << 20):
             _, first = _characters(buf, off)
             yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(np.diff(first)), pa.array(fingerprints(buf, off)[0])], names=[*rows.schema.names, "n_chars", "fingerprint"])
 
-    return docs.mapInArrow(run, plus(docs.schema, "n_chars long, fingerprint string"))
+    return adding(docs, ("n_chars", "fingerprint"), lambda own: own.mapInArrow(run, plus(own.schema, "n_chars long, fingerprint string")))
 
 
 def _halves(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -167,16 +168,22 @@ def _edited(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cut = np.where(keep == n, off[1:], cut) - off[:-1]
         ncut = np.where(take == np.diff(nfirst), noff[1:], np.append(nat, len(nbuf))[np.minimum(nfirst[:-1] + take, len(nat))]) - noff[:-1]
         texts = [p[1][:a] + p[2][:b] for p, a, b in zip(pairs, cut.tolist(), ncut.tolist(), strict=True)]
-        ebuf, eoff, _, _ = _halves(texts)
-        names, w, b = fingerprints(buf, off)
-        enames, ew, eb = fingerprints(ebuf, eoff)
-        _, nw, nb = fingerprints(nbuf, noff)
+        # one buffer and one set of prefix hashes for the texts, the edited ones and the next ones
+        m = len(pairs)
+        whole, ends, _, _ = _halves([p[1] for p in pairs] + texts + [p[2] for p in pairs])
+        pre = Prefixes(whole)
+        names, w, b = fingerprints(whole, ends, pre)
+        own, new, nxt = slice(0, m), slice(m, 2 * m), slice(2 * m, 3 * m)
+        least = np.minimum(np.diff(ends)[own], np.diff(ends)[new])
+        head = pre.common_extension(ends[:-1][own], ends[:-1][new], least)
+        tail = pre.common_extension(ends[1:][own], ends[1:][new], least, back=True)
         return pa.RecordBatch.from_arrays(
             [
                 pa.array([p[0] for p in pairs], pa.int64()), pa.array(n), pa.array([hashlib.sha256(t).hexdigest() for t in texts]),
-                pa.array(names), pa.array(enames), pa.array(likeness(w, b, ew, eb)), pa.array(likeness(w, b, nw, nb)),
+                pa.array(names[own]), pa.array(names[new]), pa.array(likeness(w[own], b[own], w[new], b[new])), pa.array(likeness(w[own], b[own], w[nxt], b[nxt])),
+                pa.array(head), pa.array(tail),
             ],
-            names=["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"],
+            names=["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "same_head", "same_tail"],
         )
 
     pairs: list[tuple[int | None, bytes, bytes]] = []
@@ -228,7 +235,7 @@ def edited(docs: DataFrame) -> DataFrame:
 
     dealt = own.select("id", "k", "text", F.explode(places("k")).alias("at"))
     dealt = dealt.repartition(parts, F.floor(F.col("at") / 2)).sortWithinPartitions("at", "k", "text").select("at", "id", "text")
-    return dealt.mapInArrow(_edited, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
+    return dealt.mapInArrow(_edited, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, same_head long, same_tail long")
 
 
 def op9(spark, sf_dir: str) -> DataFrame:
