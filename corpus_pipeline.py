@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from almanac.llm import decontaminate, line_dedup, near_dup, packing, quality
+from almanac.llm import decontaminate, line_dedup, near_dup, packing, quality, store
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,8 +45,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages on ``documents``, each over what the one before returned."""
+    """All stages on ``documents``, each over what the one before returned.
+
+    Between stages the rows are written as Parquet, in the folder that executors
+    share, and read again, so a lost executor costs one stage at most. The last
+    stage reads the folder of the one before it, which stays until the folder is emptied.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
+    for k, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
+        if k < len(STAGES) - 1:
+            docs = store.rewritten(docs, f"pipeline-{k}")
     return docs
