@@ -42,7 +42,7 @@ from almanac.llm import textnp as tn
 LENGTH, EARLY = 400, 256
 OUT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, n_repeated long, kept binary"
 _PLACE = np.uint64((1 << 24) - 1)
-_TOP48 = np.uint64(0xFFFFFFFFFFFF0000)
+_TOP48, _TOP32 = np.uint64(0xFFFFFFFFFFFF0000), np.uint64(0xFFFFFFFF00000000)
 
 
 def names(buf: np.ndarray, length: int) -> np.ndarray:
@@ -101,7 +101,7 @@ def _notes(early: int, length: int):
         first, last, at, name = anchors(buf, off, early)
         whole = tn.span_hash(buf, first, _ends(off, last, length)) if len(first) else name
         whole = tn.mix(whole * np.uint64(3) + (at - first).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-        return ex.encode(first.astype(np.uint64), last - first, name, whole)
+        return ex.encode(first.astype(np.uint64), last - first, name & _TOP48, whole & _TOP48)
 
     return run
 
@@ -114,7 +114,7 @@ def _runs(batch: pa.Table) -> tuple[np.ndarray, ...]:
 
 def _reveal(bits: int):
     def run(batch: pa.Table) -> pa.Table:
-        name = np.sort(_runs(batch)[2] & _TOP48)
+        name = np.sort(_runs(batch)[2])
         begin = np.flatnonzero(ex.starts(name))
         multi = (np.diff(np.append(begin, len(name))) > 1).astype(np.uint64)
         return ex.send(batch.column("batch")[0].as_py(), bits, name[begin], multi)
@@ -128,7 +128,7 @@ def _context(bits: int):
         if not batch.num_rows or not got.num_rows:
             return ex.send(0, bits, z, z, z)
         _, _, name, whole = _runs(batch)
-        keep = ex.found(name & _TOP48, ex.received(got)[0])
+        keep = ex.found(name, ex.received(got)[0])
         name, whole = name[keep], whole[keep]
         order = np.lexsort((whole, name))
         name, whole = name[order], whole[order]
@@ -189,7 +189,7 @@ def _halves(buf: np.ndarray, at: np.ndarray, early: int) -> tuple[np.ndarray, np
     if not len(at):
         return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
     h = names(buf, early // 2)
-    return h[at], h[at + early - early // 2]
+    return h[at], h[at + early - early // 2] & _TOP32
 
 
 def _pairs(batch: int, bits: int, a: np.ndarray, b: np.ndarray) -> pa.Table:
@@ -248,7 +248,7 @@ def _late_pairs(buf: np.ndarray, off: np.ndarray, at: np.ndarray, rank: np.ndarr
     """Places that have ``length`` bytes, with their rank and the name of their last ``early`` bytes."""
     fits = at + length <= off[np.searchsorted(off, at, side="right")] if len(at) else np.zeros(0, bool)
     at, rank = at[fits], rank[fits]
-    return at, rank, tn.span_hash(buf, at + length - early, at + length) if len(at) else rank
+    return at, rank, tn.span_hash(buf, at + length - early, at + length) & _TOP48 if len(at) else rank
 
 
 def _late(bits: int, early: int, length: int):
