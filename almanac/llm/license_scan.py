@@ -109,13 +109,18 @@ def license_scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES,
     for t in sorted({t for t, _, _ in prefixes}, key=rank.get):
         hopeful = hopeful | F.contains("q", F.lit(f" {t} "))
     known = F.array(*[F.lit(t) for t in sorted(vocabulary, key=rank.get)])
-    words, half = F.split("w", " "), BLOCK_WORDS // 2
-    fewest = min(needed(len(s), percent) for s in ordered)
-    # of a block only vocabulary words matter: in their global order, as the first argument has it
-    held = lambda i: F.filter(F.slice(words, i + 1, BLOCK_WORDS), lambda x: x.isin(vocabulary))
-    windows = F.transform(F.sequence(F.lit(0), F.greatest(F.size(words) - half - 1, F.lit(0)), F.lit(half)), held)
+    half, fewest = BLOCK_WORDS // 2, min(needed(len(s), percent) for s in ordered)
     full_enough = lambda x: F.size(x) >= fewest
-    blocks = F.array_distinct(F.filter(F.transform(F.filter(windows, full_enough), lambda x: F.array_intersect(known, x)), full_enough))
+
+    def windows(words: Column) -> Column:
+        """Of each window its vocabulary words."""
+        starts = F.sequence(F.lit(0), F.greatest(F.size(words) - half - 1, F.lit(0)), F.lit(half))
+        return F.transform(starts, lambda i: F.filter(F.slice(words, i + 1, BLOCK_WORDS), lambda x: x.isin(vocabulary)))
+
+    # an array of one, so that the text is split once and not for each window; of a block
+    # only vocabulary words matter: in their global order, as the first argument has it
+    held = F.filter(F.flatten(F.transform(F.array(F.split("w", " ")), windows)), full_enough)
+    blocks = F.array_distinct(F.filter(F.transform(held, lambda x: F.array_intersect(known, x)), full_enough))
     scanned = own.select(
         F.monotonically_increasing_id().alias("row"),
         "doc_id",
