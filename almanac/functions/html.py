@@ -13,6 +13,7 @@ from pyspark.sql.types import ArrayType, StringType
 from almanac.functions import fixed
 from almanac.functions import text as tx
 
+# Patterns of links and of embedded JSON-LD.
 _ANCHOR = r"""(?is)<a\b[^>]*\bhref=["']([^"'#][^"']*)["'][^>]*>(.*?)</a>"""
 JSON_LD = r"""(?is)<script[^>]*type=["']application/ld\+json["'][^>]*>(.*?)</script>"""
 
@@ -40,34 +41,25 @@ def heading(html: Column) -> Column:
     return F.coalesce(*[F.nullif(tx.clean_html(F.regexp_extract(html, rf"(?is)<{t}\b[^>]*>(.*?)</{t}>", 1)), F.lit("")) for t in tags])
 
 
-_ARTICLE = re.compile(r"<article\b[^>]*>(.*?)</article>", re.I | re.S)
+# Articles, and opening tags with a telling class, each with the characters after it.
+_ARTICLE = r"(?is)<article\b[^>]*>(.*?)</article>"
 _NAMES = "|".join(map(re.escape, fixed.CONTAINER_CLASSES))
-_OPENING = [re.compile(rf"""<{tag}\b[^>]*class=["'][^"']*(?:{_NAMES})[^"']*["'][^>]*>""", re.I) for tag in ("li", "section", "div")]
+_AFTER = [rf"""(?is)<{tag}\b[^>]*class=["'][^"']*(?:{_NAMES})[^"']*["'][^>]*>(?=(.{{0,{BLOCK_CHARS}}}))""" for tag in ("li", "section", "div")]
 
 
-def blocks_of(html: str) -> list[str]:
+def blocks(html: Column) -> Column:
     """Fragments that may be one event each.
 
     Three articles or more are taken as they are. Fewer are kept, and list
     items, then sections, then boxes with a telling class follow, each as the
     characters after its tag, until there are three blocks.
     """
-    found = _ARTICLE.findall(html)
-    if len(found) >= ENOUGH:
-        return found
-    for opening in _OPENING:
-        for m in opening.finditer(html):
-            found.append(html[m.end() : m.end() + BLOCK_CHARS])
-            if len(found) >= MOST_BLOCKS:
-                break
-        if len(found) >= ENOUGH:
-            break
-    return found[:MOST_BLOCKS]
-
-
-@F.pandas_udf(ArrayType(StringType()))
-def blocks(html: pd.Series) -> pd.Series:
-    return pd.Series([blocks_of(h or "") for h in html], dtype="object")
+    found = F.regexp_extract_all(html, F.lit(_ARTICLE), F.lit(1))
+    out = F.when(F.size(found) >= ENOUGH, found)
+    for pattern in _AFTER:
+        found = F.concat(found, F.regexp_extract_all(html, F.lit(pattern), F.lit(1)))
+        out = out.when(F.size(found) >= ENOUGH, F.slice(found, 1, MOST_BLOCKS))
+    return F.coalesce(out.otherwise(F.slice(found, 1, MOST_BLOCKS)), F.array().cast("array<string>"))
 
 
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}

@@ -45,11 +45,11 @@ def _row(node: dict) -> dict:
 
 @F.pandas_udf(FIELDS)
 def events(blob: pd.Series) -> pd.Series:
-    """Events of each blob; none if it is no JSON."""
+    """Events of each blob; none if it is no JSON, or nested deeper than the parser goes."""
     out = []
     for b in blob:
         try:
             out.append([_row(n) for n in events_in(json.loads(b))] if b else [])
-        except ValueError:
+        except (ValueError, RecursionError):
             out.append([])
     return pd.Series(out, dtype="object")

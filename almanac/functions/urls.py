@@ -2,12 +2,8 @@
 
 from __future__ import annotations
 
-from urllib.parse import urljoin
-
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 from almanac.functions import text as tx
 
@@ -50,19 +46,37 @@ def trim_slash(url: Column) -> Column:
     return F.regexp_replace(tx.strip(url), "/$", "")
 
 
-@F.pandas_udf(StringType())
-def resolve(href: pd.Series, base: pd.Series) -> pd.Series:
-    """The absolute URL of a reference; null if it cannot be resolved."""
-
-    def one(h: str | None, b: str | None) -> str | None:
-        if h is None or b is None:
-            return None
-        try:
-            return urljoin(b, h.strip())
-        except ValueError:
-            return None
-
-    return pd.Series([one(h, b) for h, b in zip(href, base, strict=True)], dtype="object")
+def _without_dots(path: Column) -> Column:
+    """A path without its ``.`` and ``..`` steps; none leads above the root."""
+    steps = F.split(path, "/")
+    last = F.element_at(steps, -1)
+    none = F.array().cast("array<string>")
+
+    def step(done: Column, x: Column) -> Column:
+        up = F.when(F.size(done) > 1, F.slice(done, 1, F.size(done) - 1)).otherwise(done)
+        return F.when(x == "..", up).when(x == ".", done).otherwise(F.concat(done, F.array(x)))
+
+    kept = F.aggregate(steps, none, step)
+    return F.array_join(F.when(last.isin(".", ".."), F.concat(kept, F.array(F.lit("")))).otherwise(kept), "/")
+
+
+def resolve(href: Column | str, base: Column | str) -> Column:
+    """The absolute URL of a reference; null if either is null."""
+    href, base = (F.col(c) if isinstance(c, str) else c for c in (href, base))
+    h = tx.strip(href)
+    scheme, place, path, query = (F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.-]*:)?(//[^/?#]*)?([^?#]*)(\?[^#]*)?", k) for k in (1, 2, 3, 4))
+    own, rest = F.regexp_extract(h, r"^([^?#]*)", 1), F.regexp_extract(h, r"^[^?#]*(.*)$", 1)
+    folder = F.regexp_extract(path, r"^(.*/)", 1)
+    folder = F.when(folder == "", F.when(place == "", "").otherwise("/")).otherwise(folder)
+    return (
+        F.when(href.isNull() | base.isNull(), F.lit(None).cast("string"))
+        .when(h == "", base)
+        .when(h.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), h)
+        .when(F.startswith(h, F.lit("//")), F.concat(scheme, h))
+        .when(F.startswith(h, F.lit("#")), F.concat(scheme, place, path, query, rest))
+        .when(own == "", F.concat(scheme, place, path, rest))
+        .otherwise(F.concat(scheme, place, _without_dots(F.when(F.startswith(own, F.lit("/")), own).otherwise(F.concat(folder, own))), rest))
+    )
 
 
 def source_urls(homepage: Column, listings: Column) -> Column:
