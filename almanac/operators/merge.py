@@ -5,14 +5,15 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from almanac.functions import dates as dt
 from almanac.functions import rank, urls
 from almanac.functions import text as tx
 from almanac.operators import dedup
-from almanac.operators.graph import min_labels
+from almanac.operators.graph import components
+from almanac.operators.lineage import checkpoint
 
 
 def split_past(catalog: DataFrame, today) -> tuple[DataFrame, DataFrame]:
@@ -73,6 +74,13 @@ def match_sources(known: DataFrame, incoming: DataFrame) -> DataFrame:
     return own.join(index, "url").groupBy("pos").agg(F.min_by("match", "at").alias("match"))
 
 
+def changed_fields(before: dict[str, Column], after: dict[str, Column]) -> Column:
+    """Names of the fields that differ, sorted; nulls are equal."""
+    marks = [F.when(~before[f].eqNullSafe(after[f]), f) for f in sorted(before)]
+    return F.array_compact(F.array(*marks))
+
+
+# Fields that a merge fills where they are empty.
 _FILL = ["name", "source_type", "event_focus", "geo_coverage", "languages", "access_type", "crawl_frequency", "robots_txt_checked", "active"]
 _RANK = {"low": 0, "medium": 1, "high": 2}
 
@@ -138,7 +146,7 @@ def merge_sources(known: DataFrame, incoming: DataFrame) -> DataFrame:
     both = both.withColumns({"urls": urls.source_urls(F.col("homepage_url"), F.col("event_listing_urls")), "norms": F.transform(F.concat(F.array("homepage_url"), "event_listing_urls"), urls.identity), "node": F.concat_ws("/", "side", F.format_string("%012d", F.col("pos")))})
     edges = both.select("node", F.explode("urls").alias("url"))
     first = edges.groupBy("url").agg(F.min("node").alias("hub"))
-    labels = min_labels(edges.join(first, "url").where("node != hub").select(F.col("node").alias("a"), F.col("hub").alias("b")))
+    labels = components(edges.join(first, "url").where("node != hub").select(F.col("node").alias("a"), F.col("hub").alias("b")))
     rows = both.join(labels, "node", "left").withColumn("component", F.coalesce("label", "node")).drop("label", "node")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema) + ", changes array<string>, is_new boolean"
     folded = rows.groupBy("component").applyInPandas(lambda g: fold_component(g)[[x.strip().split(" ")[0].strip("`") for x in _names(schema)]], schema)
@@ -169,7 +177,7 @@ def resolve_ids(rows: DataFrame) -> DataFrame:
         if rows.where(late).isEmpty():
             return rows.drop("rn", "wish", "tries")
         tries = F.when(late, F.col("tries") + F.when(F.col("tries") == 0, F.col("rn") - 1).otherwise(1)).otherwise(F.col("tries"))
-        rows = rows.withColumn("tries", tries).withColumn("id", F.when(F.col("tries") > 0, tx.with_suffix(F.col("wish"), F.col("tries"))).otherwise(F.col("id"))).drop("rn")
+        rows = checkpoint(rows.withColumn("tries", tries).withColumn("id", F.when(F.col("tries") > 0, tx.with_suffix(F.col("wish"), F.col("tries"))).otherwise(F.col("id"))).drop("rn"))
 
 
 def complete_fields(rows: DataFrame, required: dict[str, str]) -> DataFrame:
