@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 from almanac.functions import rank
 from almanac.functions import text as tx
+from almanac.functions.grams import containment_keys
+from almanac.operators.lineage import checkpoint
 
 OPTIONAL = ["time_start", "time_end", "ticket_url", "price"]
 
@@ -83,18 +85,45 @@ def dedup_by_signature(df: DataFrame, group: str = "source_id") -> DataFrame:
     return df.groupBy(group, "t", "date", "v").agg(*[F.min_by(c, F.col("prec")).alias(c) for c in keep], ordered_union("source_urls").alias("source_urls"), F.min("pos").alias("pos")).drop("t", "v")
 
 
+_TITLE = ["date_key", "venue_norm", "title_norm"]
+
+
+def _titles(df: DataFrame) -> DataFrame:
+    """Each different title of a date and venue once: its first row and the number of rows."""
+    return key_columns(df).where("title_norm != ''").groupBy(*_TITLE).agg(F.min("pos").alias("rep"), F.count("*").alias("n"))
+
+
+def _title_links(titles: DataFrame, percent: int = 60) -> DataFrame:
+    """(short, long): first rows of different titles of one date and venue, the one in the other and long enough.
+
+    A title is posted under its smallest gram, and looks for titles inside it
+    under those that a part of ``percent`` of it can have as smallest: a few each,
+    so no pair of strangers is built.
+    """
+    keyed = titles.withColumn("k", containment_keys(percent)("title_norm"))
+    posted = keyed.select(*_TITLE, "rep", F.col("k.own").alias("key"))
+    probes = keyed.select("date_key", "venue_norm", F.col("title_norm").alias("holder"), F.col("rep").alias("long"), F.explode("k.parts").alias("key"))
+    met = posted.join(probes, ["date_key", "venue_norm", "key"]).where(F.length("title_norm") < F.length("holder"))
+    return met.where(tx.contains_similar(F.col("title_norm"), F.col("holder"), percent / 100)).select(F.col("rep").alias("short"), "long").distinct()
+
+
 def near_pairs(df: DataFrame) -> DataFrame:
-    """Pairs (left, right) of ids of one date and venue whose titles contain each other nearly."""
-    keyed = key_columns(df).select("date_key", "venue_norm", "title_norm", "pos")
-    right = keyed.toDF("date_key", "venue_norm", "title_r", "pos_r")
-    return keyed.join(right, ["date_key", "venue_norm"]).where((F.col("pos") < F.col("pos_r")) & tx.contains_similar(F.col("title_norm"), F.col("title_r"))).select(F.col("pos").alias("left"), F.col("pos_r").alias("right"))
+    """Pairs (left, right) of ids of one date and venue whose titles contain each other nearly, equal ones among them."""
+    titles = checkpoint(_titles(df))
+    rows = key_columns(df).select(*_TITLE, "pos").join(titles, _TITLE).select("rep", "pos")
+    other = rows.toDF("rep", "pos_r")
+    equal = rows.join(other, "rep").where("pos < pos_r").select(F.col("pos").alias("left"), F.col("pos_r").alias("right"))
+    links = _title_links(titles).join(rows.toDF("short", "a"), "short").join(other.toDF("long", "b"), "long")
+    return equal.union(links.select(F.least("a", "b"), F.greatest("a", "b")))
 
 
 def flag_near_dups(df: DataFrame) -> DataFrame:
-    """Both rows of such a pair drop to low confidence."""
-    pairs = near_pairs(df)
-    hit = pairs.select(F.col("left").alias("pos")).union(pairs.select("right")).distinct().withColumn("near", F.lit(True))
-    return df.join(hit, "pos", "left").withColumn("confidence", F.when(F.col("near"), "low").otherwise(F.col("confidence"))).drop("near")
+    """Both rows of such a pair drop to low confidence; no pair of equal titles is built."""
+    titles = checkpoint(_titles(df))
+    links = _title_links(titles)
+    linked = links.select(F.col("short").alias("rep")).union(links.select("long")).distinct().withColumn("linked", F.lit(True))
+    near = titles.join(linked, "rep", "left").where("n > 1 OR linked").select(*_TITLE, F.lit(True).alias("near"))
+    return key_columns(df).join(near, _TITLE, "left").withColumn("confidence", F.when(F.col("near"), "low").otherwise(F.col("confidence"))).drop("near", *_TITLE)
 
 
 def merge_log(df: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from almanac.operators import dedup, merge
+from almanac.operators import dedup, merge, places
 
 COLUMNS = "id string, title string, date string, venue_name string, venue_city string, status string, confidence string, categories array<string>, source_urls array<string>, time_start string, time_end string, ticket_url string, price string, description string, pos long"
 RANK = {"low": 1, "medium": 2, "high": 3}
@@ -83,6 +83,31 @@ def test_archive_once(spark):
     assert merge.new_in_archive(past, past.limit(0)).count() == 1
 
 
+def similar(a, b):
+    s, t = sorted((a, b), key=len)
+    return s != "" and s in t and len(s) / len(t) >= 0.6
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(st.text("ab ", max_size=22), st.sampled_from("xy")), max_size=16))
+def test_near_pairs_equal_all_pairs(spark, rows):
+    rows = [*rows, ("the long night of jazz", "x"), ("long night of jazz", "x"), ("ong night of jaz", "x"), ("night of", "x"), ("abcdefg", "y"), ("abcdefgh", "y"), ("abcdefghijkl", "y")]
+    df = spark.createDataFrame([(t, d, "v", i, "high") for i, (t, d) in enumerate(rows)], "title string, date string, venue_name string, pos long, confidence string")
+    norm = [" ".join(t.split()) for t, _ in rows]
+    want = {(i, j) for i in range(len(rows)) for j in range(i + 1, len(rows)) if rows[i][1] == rows[j][1] and similar(norm[i], norm[j])}
+    assert sorted(map(tuple, dedup.near_pairs(df).collect())) == sorted(want)
+    low = {r["pos"] for r in dedup.flag_near_dups(df).where("confidence = 'low'").collect()}
+    assert low == {x for p in want for x in p}
+
+
+def test_places(spark):
+    df = spark.range(1000).selectExpr("id", "pmod(xxhash64(id), 50) AS k")
+    got = places.placed(df, [F.desc("k"), F.col("id")]).collect()
+    order = sorted(got, key=lambda r: (-r["k"], r["id"]))
+    assert [r["place"] for r in order] == list(range(1, 1001))
+    assert places.placed(df.limit(0), [F.col("id")]).count() == 0
+
+
 def test_empty(spark):
     none = spark.createDataFrame([], COLUMNS)
     assert dedup.dedup_merge(none).count() == 0
