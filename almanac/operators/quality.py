@@ -50,3 +50,21 @@ def envelope_errors(df: DataFrame) -> DataFrame:
         F.when(F.json_array_length(F.get_json_object(raw, "$.events")).isNull(), "events is not a list"),
     ]
     return df.withColumn("errors", F.array_compact(F.array(*rules)))
+
+
+def report(events: DataFrame, envelope: DataFrame) -> DataFrame:
+    """(pos, id, error): each message about a document's rows (pos, raw) and its envelope (errors); pos is null for the latter.
+
+    A row without an id is named by its place, from 1.
+    """
+    named = F.coalesce(F.get_json_object("raw", "$.id"), F.concat(F.lit("index_"), (F.col("pos") + 1).cast("string")))
+    rows = events.select("pos", named.alias("id"), F.explode(event_errors(F.col("raw"))).alias("error"))
+    whole = envelope.select(F.lit(None).cast("long").alias("pos"), F.lit(None).cast("string").alias("id"), F.explode("errors").alias("error"))
+    return whole.unionByName(rows)
+
+
+def verdict(found: DataFrame, n_events: Column) -> DataFrame:
+    """(verdict, n, exit_status) of such messages: VALID with the number of rows and 0, or INVALID with that of messages and 1."""
+    out = found.agg(F.count("*").alias("errors"))
+    bad = F.col("errors") > 0
+    return out.select(F.when(bad, "INVALID").otherwise("VALID").alias("verdict"), F.when(bad, F.col("errors")).otherwise(n_events).alias("n"), bad.cast("int").alias("exit_status"))

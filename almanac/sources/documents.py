@@ -74,6 +74,20 @@ def typed_sources(raw: DataFrame) -> DataFrame:
     )
 
 
+def taxonomy_ids(raw: DataFrame) -> DataFrame:
+    """(id), each once: the keys of a mapping's rows as ``read_yaml`` gives them, or the ids of a list's rows."""
+    pair = F.json_array_length("raw").isNotNull()
+    ident = F.when(pair, F.get_json_object("raw", "$[0]")).otherwise(F.get_json_object("raw", "$.id"))
+    return raw.select(ident.alias("id")).where("id IS NOT NULL").distinct()
+
+
+def name_map(sources: DataFrame | None, spark: SparkSession) -> DataFrame:
+    """(id, name) of a catalog's sources, the last of equal ids; empty without a catalog."""
+    if sources is None:
+        return spark.createDataFrame([], "id string, name string")
+    return sources.where(F.col("id").isNotNull()).groupBy("id").agg(F.max_by("name", "pos").alias("name"))
+
+
 def latest_run(spark: SparkSession, glob: str, without: str) -> str | None:
     """The most recently written file of other runs."""
     files = spark.read.format("binaryFile").load(glob).select("path", "modificationTime")

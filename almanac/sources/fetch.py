@@ -2,45 +2,99 @@
 
 from __future__ import annotations
 
+import random
 import time
 import urllib.error
 import urllib.request
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from urllib.parse import urljoin, urlsplit
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+#: Names that requests go out under; a policy takes them in turn or at random.
+AGENTS = tuple(f"Mozilla/5.0 ({system}) AlmanacBot/1.0" for system in ("X11; Linux x86_64", "Windows NT 10.0; Win64; x64", "Macintosh; Intel Mac OS X 14_0"))
+_MOVED = (301, 302, 303, 307, 308)
+
 
 @dataclass(frozen=True)
 class Policy:
-    """How often and how patiently a page is asked for."""
+    """How often and how patiently a page is asked for.
+
+    A delay is drawn evenly between its bounds before each request. Agents go
+    round by the number of the request, or are drawn. After a redirect
+    ``moved_attempts`` attempts are made at the new place; ``downgrade`` says
+    whether one may lead from https to http, ``redirects`` how many are followed.
+    """
 
     attempts: int = 1
     backoff_s: float = 0.0
     timeout_s: float = 12.0
-    delay_s: float = 0.0
+    delay_s: tuple[float, float] = (0.0, 0.0)
+    draw_agent: bool = False
+    moved_attempts: int = 1
+    redirects: int = 10_000
+    downgrade: bool = True
 
 
 #: The three extractors' policies.
-POLICIES = {"v1": Policy(), "v15": Policy(attempts=3, backoff_s=0.2, timeout_s=15.0), "v2": Policy(timeout_s=20.0, delay_s=1.5)}
+POLICIES = {
+    "v1": Policy(),
+    "v15": Policy(attempts=3, backoff_s=0.2, timeout_s=15.0, moved_attempts=2),
+    "v2": Policy(timeout_s=20.0, delay_s=(0.8, 2.2), draw_agent=True, redirects=5, downgrade=False),
+}
+
+
+class _Stay(urllib.request.HTTPRedirectHandler):
+    """Redirects come back as answers."""
+
+    def redirect_request(self, *args, **kwargs):
+        return None
+
+
+def delay(policy: Policy, draw: random.Random) -> float:
+    """Seconds to wait before a request."""
+    return draw.uniform(*policy.delay_s)
+
+
+def agent(policy: Policy, number: int, draw: random.Random) -> str:
+    """The name of the request of this number."""
+    return draw.choice(AGENTS) if policy.draw_agent else AGENTS[number % len(AGENTS)]
+
+
+def _text(raw: bytes) -> str:
+    return raw.decode("utf-8", "replace").replace("�", " ")
 
 
-def fetch_one(url: str, policy: Policy, get: Callable | None = None, sleep: Callable = time.sleep) -> tuple[str | None, str, str]:
+def fetch_one(url: str, policy: Policy, get: Callable | None = None, sleep: Callable = time.sleep, draw: random.Random | None = None, seed: int = 0) -> tuple[str | None, str, str]:
     """(body, status, final URL); status is ``bad_uri`` or ``error`` where there was no answer."""
-    if not url.lower().startswith(("http://", "https://")):
-        return None, "bad_uri", url
-    get = get or urllib.request.urlopen
-    for attempt in range(1, policy.attempts + 1):
-        sleep(policy.delay_s)
+    get, draw = get or urllib.request.build_opener(_Stay).open, draw or random.Random()
+    moved, attempts, attempt = 0, policy.attempts, 0
+    while True:
+        if urlsplit(url).scheme.lower() not in ("http", "https"):
+            return None, "error" if moved else "bad_uri", url
+        if attempt >= attempts:
+            return None, "error", url
+        sleep(delay(policy, draw))
+        headers = {"Accept": "text/html,application/xhtml+xml", "User-Agent": agent(policy, seed + attempt, draw)}
         try:
-            with get(urllib.request.Request(url, headers={"Accept": "text/html,application/xhtml+xml"}), timeout=policy.timeout_s) as res:
-                return res.read().decode("utf-8", "replace").replace("�", " "), str(res.status), res.url
-        except urllib.error.HTTPError as e:
-            return e.read().decode("utf-8", "replace").replace("�", " "), str(e.code), url
+            try:
+                answer = get(urllib.request.Request(url, headers=headers), timeout=policy.timeout_s)
+            except urllib.error.HTTPError as e:
+                answer = e
+            with answer:
+                code, to = int(answer.status), answer.headers.get("Location")
+                body = _text(answer.read())
         except (OSError, ValueError):
+            attempt += 1
             sleep(policy.backoff_s * attempt)
-    return None, "error", url
+            continue
+        to = urljoin(url, to) if to and code in _MOVED else None
+        if to and moved < policy.redirects and (policy.downgrade or not (url.startswith("https:") and to.startswith("http:"))):
+            url, moved, seed, attempts, attempt = to, moved + 1, seed + 1, policy.moved_attempts, 0
+            continue
+        return body, str(code), url
 
 
 def fetch(urls: DataFrame, policy: Policy) -> DataFrame:

@@ -20,7 +20,7 @@ def start_upsert(incoming: DataFrame, catalog: str, checkpoint: str, once: bool
         spark = batch.sparkSession
         if batch.isEmpty():
             return
-        active = spark.read.parquet(catalog) if sinks.exists(spark, catalog) else batch.limit(0)
+        active = spark.read.parquet(catalog) if sinks.recover(spark, catalog) else batch.limit(0)
         merged = merge.upsert_events(active, batch)
         from pyspark.sql import Window
         from pyspark.sql import functions as F
