@@ -34,3 +34,14 @@ def stop_at_streak(df: DataFrame, by: list[str], order: list, bad: Column, good:
 def spider_budget(found: Column, links: int = 15, total: int = 40) -> Column:
     """Detail pages that may still be visited."""
     return F.greatest(F.least(F.lit(links), total - found), F.lit(0))
+
+
+def round_robin(seed: Column, attempt: Column, n: int) -> Column:
+    """The turn of an attempt among n, from a seed on."""
+    return F.pmod(seed + attempt, F.lit(n)).cast("long")
+
+
+def listings_first(visits: DataFrame) -> DataFrame:
+    """Visits (source, listing, n) without the fallback pages of sources whose listings had events."""
+    had = F.max(F.when(F.col("listing"), F.col("n")).otherwise(0)).over(Window.partitionBy("source"))
+    return visits.withColumn("_had", had).where((F.col("_had") == 0) | F.col("listing")).drop("_had")
