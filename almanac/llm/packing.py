@@ -38,7 +38,7 @@ CAPACITY = 4096
 END_ID = 2
 GROUP_WINDOWS, GROUP_PIECES, BUNDLE = 256, 1 << 17, 64
 #: Input partitions whose last groups are packed together.
-CARRY = 16
+CARRY = 64
 #: Distinct units whose ids a task remembers.
 CACHE_WORDS = 500_000
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"

@@ -1,35 +1,18 @@
-"""Reliable checkpoints: lineage is cut only by files that all executors share."""
+"""Reliable storage between steps: lineage is cut only by files that all executors share."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
+from almanac.operators.lineage import checkpoint, shared_folder
 
-def folder(spark: SparkSession) -> str:
-    """The folder that the cluster names in spark.checkpoint.dir, set as Spark's own.
-
-    Where that is unset, as in tests, a session on this machine gets a folder here; on a cluster that is an error.
-    """
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        at = spark.conf.get("spark.checkpoint.dir", None)
-        if at is None and not sc.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        sc.setCheckpointDir(at or tempfile.mkdtemp(prefix="checkpoint-"))
-    return sc.getCheckpointDir()
-
-
-def checkpoint(df: DataFrame) -> DataFrame:
-    """The frame, written to the shared folder; its lineage ends there."""
-    folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+__all__ = ["checkpoint", "rewritten"]
 
 
 def rewritten(df: DataFrame, name: str) -> DataFrame:
     """The frame, written as Parquet under a new name in the shared folder and read again."""
-    path = f"{folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)

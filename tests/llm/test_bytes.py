@@ -112,6 +112,60 @@ def test_edited(spark, none, rows):
     assert fingerprint.fingerprint(frame(spark, rows)).select("fingerprint").distinct().count() == len({t or "" for _, t in rows})
 
 
+def test_padding_does_not_follow_the_partitioning(spark):
+    r = random.Random(5)
+    rows = [(i, " ".join(r.choice("alpha beta gamma delta epsilon".split()) for _ in range(r.choice([20, 200, 900])))) for i in range(900)]
+    for parts in (1, 64):
+        got = packing.pack(frame(spark, rows).repartition(parts), packing.tokenizer_path()).collect()
+        by = Counter()
+        for x in got:
+            by[x["sequence_id"]] += x["length"]
+        assert sum(by.values()) > 60 * packing.CAPACITY and max(by.values()) <= packing.CAPACITY
+        assert 1 - sum(by.values()) / (len(by) * packing.CAPACITY) < 0.03, parts
+
+
+def test_a_million_empty_texts_in_little_memory():
+    import tracemalloc
+
+    packer, one, placed = packing._Packer(0, packing.CAPACITY), np.array([2], np.uint32), 0
+    tracemalloc.start()
+    for k in range(1_000_000):
+        packer.add(k, one)
+        if packer.rows:
+            placed += packer.out().num_rows
+    packer.flush()
+    placed += packer.out().num_rows
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert placed == 1_000_000 and peak < 200e6
+
+
+def test_differencing():
+    r = random.Random(2)
+    for parts, sizes in ((2, [8, 7, 6, 5, 4]), (3, [5, 5, 5, 4, 4, 3, 3, 1]), (7, [r.randint(1, 900) for _ in range(200)]), (5, [1, 2]), (4, []), (3, [9])):
+        of = packing.difference(sizes, parts)
+        sums = np.bincount(of, sizes, parts) if sizes else np.zeros(parts)
+        assert len(of) == len(sizes) and (not sizes or (of.max() < parts and sums.sum() == sum(sizes)))
+        if len(sizes) > 20:
+            assert sums.max() - sums.min() <= 2
+    # differences, not a greedy fill: 16 and 14, where each next item to the smaller part gives 17 and 13
+    assert sorted(np.bincount(packing.difference([8, 7, 6, 5, 4], 2), [8, 7, 6, 5, 4]).tolist()) == [14, 16]
+
+
+def test_common_extensions_of_edited_texts(spark, rows):
+    r"""Bytes that a text and its edited text share at both ends, by plain comparison."""
+    unique = list({i: (i, t) for i, t in rows}.values())
+    ordered = sorted((i, t or "") for i, t in unique)
+    got = {x["doc_id"]: (x["same_head"], x["same_tail"]) for x in fingerprint.edited(frame(spark, unique)).collect()}
+    for k, (i, t) in enumerate(ordered):
+        nxt = ordered[(k + 1) % len(ordered)][1]
+        a, b = t.encode(), (t[: len(t) - len(t) // 2] + nxt[: len(t) // 2]).encode()
+        least = min(len(a), len(b))
+        head = next((j for j in range(least) if a[j] != b[j]), least)
+        tail = next((j for j in range(least) if a[-1 - j] != b[-1 - j]), least)
+        assert got[i] == (head, tail)
+
+
 def test_prefix_hashes():
     r = np.random.RandomState(0)
     buf = r.randint(97, 99, 400).astype(np.uint8)

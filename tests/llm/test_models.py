@@ -72,3 +72,42 @@ def test_all_windows_overlap():
     for d, (a, b) in enumerate([(0, 0), (0, 10), (10, 100), (100, 300)]):
         covered = {x for s, n, k in zip(start, size, doc, strict=True) if k == d for x in range(s, s + n)}
         assert covered == set(range(a, b))
+
+
+def test_votes_by_plain_cosines():
+    """Each score is the vote of the nearest rows, ties with the last included, by a loop over all of them."""
+    r = np.random.RandomState(4)
+    texts = [" ".join(r.choice(["alpha", "beta", "gamma", "delta", "zz zz"], r.randint(3, 40))) for _ in range(60)] + ["alpha beta"] * 30
+    x = quality.features(*tn.flatten(pa.array(texts))).astype(np.float32)
+    y = (np.arange(90) % 3 > 0).astype(int)
+    model = quality.Model(x, y, rank=8)
+    got = model.score(x, neighbours=7)
+    for k in range(90):
+        v = (x[k] * model.weight / np.linalg.norm(x[k] * model.weight) - model.mean) @ model.basis
+        v = v / np.linalg.norm(v)
+        sims = np.array([float(v @ u) for u in model.vectors])
+        last = np.sort(sims)[-7]
+        near = [j for j in range(90) if sims[j] >= last - 2e-6]
+        votes = [max(sims[j], 0) ** 4 + 1e-9 for j in near]
+        assert abs(got[k] - sum(a * y[j] for a, j in zip(votes, near, strict=True)) / sum(votes)) < 1e-3
+    assert not np.isclose(got, got[0]).all()
+
+
+def test_learnt_rows_are_bounded(spark):
+    """One labelled id that many rows hold is one row to learn from, the same in any order."""
+    docs = spark.range(3000).selectExpr("id % 3 AS doc_id", "concat('text ', id) AS text").union(spark.range(3, 40).selectExpr("id", "concat('other ', id)"))
+    labels = spark.range(40).selectExpr("id AS doc_id", "CAST(id % 2 AS int) AS quality")
+    rows = quality.labelled(docs, labels, "quality", 3, 1, 10).collect()
+    assert 0 < len(rows) <= 10 and len({r["doc_id"] for r in rows}) == len(rows)
+    assert sorted(map(tuple, rows)) == sorted(map(tuple, quality.labelled(docs.repartition(7), labels, "quality", 3, 1, 10).collect()))
+
+
+def test_names_with_dots(spark, rows):
+    from almanac.llm import decontaminate, fingerprint, line_dedup
+
+    docs = frame(spark, rows[:20]).withColumnRenamed("key", "a.b").withColumnRenamed("batch", "__line_repeats").withColumnRenamed("lang", "__own0")
+    bench = spark.createDataFrame([(1, "zu zu")], "item_id long, text string")
+    for out in (quality.score(docs, quality.fit(docs, spark.createDataFrame([], "doc_id long, quality int"))), toxicity.score(docs, None), fingerprint.fingerprint(docs), decontaminate.scan(docs, bench), line_dedup.runs(docs), line_dedup.mark(docs)):
+        assert set(docs.columns) <= set(out.columns)
+        got = out.select("`a.b`", "`__line_repeats`", "`__own0`").collect()
+        assert len(got) == 20 and {tuple(r) for r in got} == {("k", "b", "en")}

@@ -112,6 +112,36 @@ def test_substring_dedup(docs, none, rows, window):
     assert substring_dedup.substring_dedup(none).count() == 0
 
 
+def test_high_symbols(spark, monkeypatch):
+    """Equal passages have equal symbols inside, and these alone settle long repeats."""
+    import random
+
+    import numpy as np
+
+    r = random.Random(1)
+    passage = [f"p{r.randint(0, 300)}" for _ in range(400)]
+    texts = [[f"{k}{r.randint(0, 300)}" for _ in range(30 + k)] + passage + [f"{k}end{j}" for j in range(25)] for k in range(3)]
+    words = {w: k for k, w in enumerate(sorted({w for t in texts for w in t}))}
+    symbols = []
+    for t in texts:
+        w = substring_dedup.tn.mix(np.array([words[x] for x in t], np.uint64) + np.uint64(1))
+        name, start, end = substring_dedup.high_symbols(w, np.array([0, len(w)]), substring_dedup.LEVELS)
+        assert start[0] == 0 and end[-1] == len(w) and (start[1:] == end[:-1]).all()
+        symbols.append({(int(n), tuple(t[a:b])) for n, a, b in zip(name, start, end, strict=True) if b - a > 3})
+    shared = symbols[0] & symbols[1] & symbols[2]
+    assert sum(len(x) for _, x in shared) > 200
+    rows = [(k, " ".join(t)) for k, t in enumerate(texts)]
+    settle = substring_dedup._Held.settle
+
+    def only(self, got):
+        settle(self, got)
+        self.at = self.at[:0]  # no window is verified by a name of its own
+
+    monkeypatch.setattr(substring_dedup._Held, "settle", only)
+    got = {x["doc_id"]: x["n_removed"] for x in substring_dedup.substring_dedup(frame(spark, rows)).collect()}
+    assert got[0] == 0 and 200 < got[1] <= 400 and 200 < got[2] <= 400
+
+
 def shingles(t, n):
     w = NONSPACE.findall(low(t))
     return frozenset(tuple(w[a : a + n]) for a in range(len(w) - n + 1)) if len(w) >= n else frozenset([tuple(w)] if w else [])
@@ -157,6 +187,48 @@ def test_near_dup(spark, none, n):
         assert sorted((x["doc_id"], x["kept"]) for x in odd if x["doc_id"]) == [(9, True), (9, True)] and len(odd) == 3
 
 
+def test_long_lists_are_divided(spark, monkeypatch):
+    """Lists of more than a few members are divided by a second coordinate, and blocks split what is left: the links are the same."""
+    import random
+
+    monkeypatch.setattr(near_dup, "BLOCK", 3)
+    r = random.Random(8)
+    base = [[f"w{r.randint(0, 60)}" for _ in range(60)] for _ in range(2)]
+    rows = []
+    for i in range(70):
+        w = list(base[i % 2])
+        for _ in range(r.choice([0, 1, 2, 3, 4, 6])):
+            w[r.randrange(len(w))] = f"e{r.randint(0, 9999)}"
+        rows.append((i, " ".join(w)))
+    sets, label = brute_components(rows, 4)
+    got = near_dup.near_dup(frame(spark, rows), 4).collect()
+    assert sorted((x["doc_id"], x["component_id"]) for x in got) == sorted((i, label[i]) for i, _ in rows)
+    assert 3 < len(set(label.values())) < 60
+
+
+def test_prefixes_skip_long_lists():
+    """A class is posted in its rarest lists of several members, and two classes with enough matches meet in one."""
+    import numpy as np
+    import pyarrow as pa
+
+    r, k = np.random.RandomState(3), near_dup.COORDINATES
+    least = near_dup.least_matches(80)
+    a = r.randint(0, 1 << 31, k).astype(np.uint32)
+    b = a.copy()
+    b[: k - least] = r.randint(0, 1 << 31, k - least)
+    chunk = pa.table({"batch": [0], "reps": [np.array([1, 2], np.int64).tobytes()], "sigs": [np.concatenate((a, b)).tobytes()]})
+    keys = near_dup._keys(np.stack((a, b)))
+    names = near_dup.tn.mix(keys)
+    both = np.flatnonzero(keys[0] == keys[1])
+    count = {int(names[0][c]): 2 if j < 5 else 1000 + j for j, c in enumerate(both.tolist())}
+    listed = np.array(sorted(count), np.uint64)
+    got = pa.table({"batch": [0], "names": [near_dup.ex.encode(listed, np.array([count[int(x)] for x in listed], np.uint64))]})
+    posts = near_dup._post(least)(chunk, got).to_pydict()
+    lists = {rep: {key for key, x in zip(posts["key"], posts["rep"], strict=True) if x == rep} for rep in (1, 2)}
+    # the coordinates that differ are the rarest and have no other member; one place is left, for the shortest list that both are in
+    assert lists[1] == lists[2] and len(lists[1]) == 1 and lists[1] < {int(keys[0][c]) for c in both[:5].tolist()}
+
+
 def test_near_dup_repeated_ids(spark):
     """Different texts under one doc_id are judged each for itself, and of equal ones one stays."""
     a = [f"a{k}" for k in range(60)]
