@@ -71,4 +71,43 @@ low AS (SELECT a, min(b) AS m FROM reach GROUP BY a)
 SELECT d.doc_id, coalesce(n, 0) AS n_shingles, least(d.doc_id, coalesce(m, d.doc_id)) AS component_id, d.doc_id = least(d.doc_id, coalesce(m, d.doc_id)) AS kept
 FROM d LEFT JOIN n ON d.doc_id = n.doc_id LEFT JOIN low ON d.doc_id = low.a"""
 
-ORACLE_SQL = {"op1_license_scan": _op1(), "op3_decontaminate": _OP3, "op4_substring_dedup": _OP4, "op6_near_dup": _OP6}
+
+
+def _op5() -> str:
+    """Names of 1, 2, 4, ... bytes from each place, by doubling; what starts twice is covered by a frame."""
+    rounds, n = ["n1 AS (SELECT doc_id, i, b, ascii(b) * 256 + ascii(b[2]) AS k FROM e)"], 1
+    for step in (1, 2, 4, 8, 16, 32, 64, 128, 144):
+        rounds.append(f"n{n + step} AS (SELECT doc_id, i, b{', k AS k256' if step == 144 else ''}, hash(k, lead(k, {step}) OVER (PARTITION BY doc_id ORDER BY i)) AS k, lead(i, {n + step - 1}) OVER (PARTITION BY doc_id ORDER BY i) IS NOT NULL AS fits FROM n{n})".replace(", k AS k256", ", k AS k256, fits AS fits256"))
+        n += step
+    twice = "{k} IN (SELECT {k} FROM n400 WHERE {f} GROUP BY 1 HAVING count(*) > 1)".format
+    covered = "max({c}) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN {n} PRECEDING AND CURRENT ROW)".format
+    return f"""
+WITH d AS (SELECT doc_id, regexp_extract_all(hex(encode(coalesce(text, ''))), '..') AS h FROM documents),
+e AS (SELECT doc_id, unnest(h) AS b, unnest(range(len(h))) AS i FROM d),
+{", ".join(rounds)},
+m AS (SELECT doc_id, i, b, CASE WHEN fits AND {twice(k="k", f="fits")} THEN 1 ELSE 0 END AS x, CASE WHEN fits256 AND {twice(k="k256", f="fits256")} THEN 1 ELSE 0 END AS y FROM n400),
+c AS (SELECT doc_id, i, b, {covered(c="x", n=399)} AS gone, {covered(c="y", n=255)} AS again FROM m),
+s AS (SELECT *, coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY i), 0) AS was FROM c),
+k AS (SELECT doc_id, sum(gone) AS n_removed, count(*) FILTER (gone = 1 AND was = 0) AS n_spans, sum(again) AS n_repeated, string_agg(CASE WHEN gone = 0 THEN b END, '' ORDER BY i) AS kept FROM s GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(h) AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept, ''))) AS kept_sha256, CAST(coalesce(n_repeated, 0) AS BIGINT) AS n_repeated
+FROM d LEFT JOIN k ON d.doc_id = k.doc_id"""
+
+
+_BLANK = "regexp_full_match(line, '[\\x20\\x09-\\x0D]*')"
+
+#: Every two neighbouring lines, and every stretch of blank lines with a neighbour, by plain comparison of texts.
+_OP10 = f"""
+WITH t AS (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents WHERE text <> ''),
+u AS (SELECT doc_id, unnest(ls) AS line, unnest(range(len(ls))) AS i, len(ls) AS n FROM t),
+l AS (SELECT *, {_BLANK} AS blank, lead(line) OVER o AS line2, lead({_BLANK}) OVER o AS blank2 FROM u WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+st AS (SELECT doc_id, min(i) AS p, max(i) AS q, any_value(n) AS n FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id ORDER BY i) AS run FROM l WHERE blank) GROUP BY doc_id, run HAVING count(*) > 1),
+w AS (SELECT doc_id, p - 1 AS a, q AS b FROM st WHERE p > 0 UNION ALL SELECT doc_id, p, q + 1 FROM st WHERE q + 1 < n),
+c AS (SELECT doc_id, i AS a, i + 1 AS b, line || chr(10) || line2 AS x FROM l WHERE line2 IS NOT NULL AND NOT (blank AND blank2)
+  UNION ALL SELECT w.doc_id, a, b, array_to_string(list_slice(ls, a + 1, b + 1), chr(10)) FROM w JOIN t ON w.doc_id = t.doc_id),
+f AS (SELECT doc_id, a, b, min(doc_id) OVER (PARTITION BY x) AS owner, first_value(b) OVER (PARTITION BY x, doc_id ORDER BY a, b) AS first_end FROM c),
+g AS (SELECT DISTINCT doc_id, unnest(range(a, b + 1)) AS i FROM f WHERE owner < doc_id OR a > first_end),
+k AS (SELECT l.doc_id, count(*) AS n_lines, count(g.i) AS n_removed, coalesce(string_agg(CASE WHEN g.i IS NULL THEN line END, chr(10) ORDER BY l.i), '') AS kept FROM l LEFT JOIN g ON l.doc_id = g.doc_id AND l.i = g.i GROUP BY l.doc_id)
+SELECT documents.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed, CAST(length(coalesce(kept, '')) AS BIGINT) AS kept_chars, sha256(coalesce(kept, '')) AS kept_sha256
+FROM documents LEFT JOIN k ON documents.doc_id = k.doc_id"""
+
+ORACLE_SQL = {"op1_license_scan": _op1(), "op3_decontaminate": _OP3, "op4_substring_dedup": _OP4, "op5_suffix_dedup": _op5(), "op6_near_dup": _OP6, "op10_line_dedup": _OP10}
