@@ -40,6 +40,11 @@ def well_formed(sources: DataFrame) -> DataFrame:
     return sources.where(~tx.is_blank(F.col("id")) & ~tx.is_blank(F.col("name")) & has_url)
 
 
+def listed(sources: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Sources whose id is wanted."""
+    return sources.join(wanted.select("id"), "id", "left_semi")
+
+
 def blocked_body(body: Column, tokens: list[str]) -> Column:
     """Empty, or with a sign of a blocked page."""
     body = F.coalesce(body, F.lit(""))
