@@ -248,8 +248,8 @@ def score(docs: DataFrame, net: Network | None) -> DataFrame:
 
 
 def op7(spark, sf_dir: str) -> DataFrame:
-    """Toxicity score of every document."""
+    """Toxicity score of every document; a null doc_id is not held out."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     net = fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    held = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
     return score(docs, net).select("doc_id", held.alias("held_out"), F.col("toxicity_score").alias("score"), (F.col("toxicity_score") >= 0.5).cast("int").alias("predicted"))
