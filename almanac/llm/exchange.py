@@ -8,13 +8,22 @@ gets back those of its own names.
 
 A name that a third of all documents hold is one entry a batch, so no bucket or
 batch is larger than its share. Names travel as packed bytes; a row is a
-(batch, bucket) pair, not a name.
+(batch, bucket) pair, not a name. Buckets grow in number with the input, so beyond
+2**HOP_BITS of them a batch sends to as many ranges of buckets instead; the rows of a
+range and of a group of batches meet, and are dealt on to the range's buckets,
+whose verdicts come back the same way. So a batch never has more than 2**HOP_BITS
+rows, and a row many names, however large the input is.
+
+Batches are numbered by partition and place. The documents should come from files
+or a checkpoint, whose partitions hold the same rows in the same order when a lost
+task runs again; rows straight from a shuffle may not.
 """
 
 from __future__ import annotations
 
 import struct
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -27,9 +36,13 @@ from almanac.llm import textnp as tn
 
 #: Bytes of names that a bucket gathers, about; it sets the number of buckets.
 BUCKET_BYTES = 8 << 20
+#: Leading bits of a name up to which batches send to buckets directly; bits of buckets that a task deals on at once.
+HOP_BITS, TASK_BITS = 10, 6
 #: Bytes of text of a packed batch, about.
 PACKED_BYTES = 4 << 20
-SENT = "bucket int, batch long, names binary"
+SENT = "bucket int, grp int, batch long, names binary"
+_DEALT = "bucket int, grp int, fine int, names binary"
+_BACK = "bucket int, grp int, names binary"
 GOT = "batch long, names binary"
 PACKED = "batch long, ids array<long>, sizes binary, texts binary, notes binary"
 
@@ -50,15 +63,39 @@ def decode(blob: bytes) -> list[np.ndarray]:
     return out
 
 
-def bucket_bits(docs: DataFrame) -> int:
-    """Leading bits that choose a bucket, from the optimizer's size of the input.
+@dataclass(frozen=True)
+class Buckets:
+    """How names are dealt: the leading bits that choose a bucket, and those that a batch sends by."""
+
+    bits: int
+    hop: int = HOP_BITS
+
+    @property
+    def direct(self) -> bool:
+        return self.bits <= self.hop
+
+    @property
+    def coarse(self) -> int:
+        return min(self.bits, self.hop)
+
+    @property
+    def groups(self) -> int:
+        """Groups of batches: a task gets so many buckets' names of a range."""
+        return 1 << max(0, self.bits - self.hop - TASK_BITS)
+
+    def group(self, batch: np.ndarray) -> np.ndarray:
+        return (tn.mix(np.asarray(batch, np.int64).view(np.uint64)) & np.uint64(self.groups - 1)).astype(np.int32)
+
+
+def buckets(docs: DataFrame) -> Buckets:
+    """Buckets for the documents' names, from the optimizer's size of the input.
 
     Where the optimizer has no size, as for rows that come from an RDD, texts are measured.
     """
     size = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     if size >= 1 << 58:
         size = docs.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
-    return max(6, min(20, (size // BUCKET_BYTES).bit_length()))
+    return Buckets(max(6, min(20, (size // BUCKET_BYTES).bit_length())), HOP_BITS)
 
 
 def parts(docs: DataFrame) -> int:
@@ -90,30 +127,95 @@ def unpack(batch: pa.Table) -> tuple[list, np.ndarray, np.ndarray]:
     return batch.column("ids")[0].as_py(), np.frombuffer(raw, np.uint8), off
 
 
-def send(batch: int, bits: int, keys: np.ndarray, *more: np.ndarray) -> pa.Table:
-    """Rows (bucket, batch, names) of sorted distinct keys."""
+def _edges(keys: np.ndarray, bits: int) -> np.ndarray:
+    """Where each range of names by leading bits begins among sorted ones, and the end."""
     edge = np.searchsorted(keys, np.arange(1, 1 << bits, dtype=np.uint64) << np.uint64(64 - bits))
-    edge = np.concatenate(([0], edge, [len(keys)]))
+    return np.concatenate(([0], edge, [len(keys)]))
+
+
+def send(batch: int, to: Buckets, keys: np.ndarray, *more: np.ndarray) -> pa.Table:
+    """Rows (bucket, grp, batch, names) of sorted distinct keys."""
+    edge = _edges(keys, to.coarse)
     full = np.flatnonzero(np.diff(edge))
     blobs = [encode(keys[edge[b] : edge[b + 1]], *(x[edge[b] : edge[b + 1]] for x in more)) for b in full.tolist()]
-    return pa.table({"bucket": pa.array(full, pa.int32()), "batch": pa.array(np.full(len(full), batch, np.int64)), "names": pa.array(blobs, pa.binary())})
+    own = np.full(len(full), batch, np.int64)
+    return pa.table({"bucket": pa.array(full, pa.int32()), "grp": pa.array(to.group(own), pa.int32()), "batch": pa.array(own), "names": pa.array(blobs, pa.binary())})
+
+
+def _decoded(table: pa.Table) -> list[list[np.ndarray]]:
+    return [decode(b.as_buffer().to_pybytes()) for b in table.column("names")]
+
+
+def _joined(rows: list[list[np.ndarray]]) -> list[np.ndarray]:
+    return [np.concatenate([r[k] for r in rows]) for k in range(len(rows[0]))]
+
+
+def _tagged(table: pa.Table) -> list[np.ndarray]:
+    """All names of rows that each come from one batch, what goes with them, and their batches."""
+    rows = _decoded(table)
+    return [*_joined(rows), np.repeat(table.column("batch").to_numpy(), [len(r[0]) for r in rows]).view(np.uint64)]
+
+
+def _deal(to: Buckets):
+    """The names of a range and a group of batches, to the range's buckets."""
+
+    def run(table: pa.Table) -> pa.Table:
+        planes = _tagged(table)
+        order = np.argsort(planes[0], kind="stable")
+        planes = [x[order] for x in planes]
+        at, grp = table.column("bucket")[0].as_py(), table.column("grp")[0].as_py()
+        first = at << (to.bits - to.coarse)
+        rest = planes[0] << np.uint64(to.coarse)  # what is left of a name orders it in its range
+        edge = _edges(rest, to.bits - to.coarse)
+        full = np.flatnonzero(np.diff(edge))
+        blobs = [encode(*(x[edge[b] : edge[b + 1]] for x in planes)) for b in full.tolist()]
+        n = len(full)
+        return pa.table({"bucket": pa.array(np.full(n, at, np.int32)), "grp": pa.array(np.full(n, grp, np.int32)), "fine": pa.array((full + first).astype(np.int32)), "names": pa.array(blobs, pa.binary())})
+
+    return run
+
+
+def _home(table: pa.Table) -> pa.Table:
+    """Verdicts of a range's buckets for a group of batches, to each of these."""
+    *planes, of = _joined(_decoded(table))
+    order = np.argsort(of, kind="stable")
+    begin = np.flatnonzero(starts(of[order]))
+    at = np.split(order, begin[1:]) if len(order) else []
+    return pa.table({"batch": pa.array(of[order][begin].view(np.int64)), "names": pa.array([encode(*(x[k] for x in planes)) for k in at], pa.binary())})
+
+
+def per_bucket(sent: DataFrame, to: Buckets, f: Callable[[pa.Table], pa.Table]) -> DataFrame:
+    """``f`` of each bucket's names, which gathers them and replies; its verdicts by batch."""
+    if to.direct:
+        return sent.groupBy("bucket").applyInArrow(f, GOT)
+    dealt = sent.groupBy("bucket", "grp").applyInArrow(_deal(to), _DEALT)
+    return dealt.groupBy("fine").applyInArrow(f, _BACK).groupBy("bucket", "grp").applyInArrow(_home, GOT)
+
+
+def bucket_of(table: pa.Table) -> int:
+    return table.column("fine" if "fine" in table.column_names else "bucket")[0].as_py()
 
 
 def gather(table: pa.Table) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
-    """All names of a bucket in order, what goes with them, and the row of each."""
-    rows = [decode(b.as_buffer().to_pybytes()) for b in table.column("names")]
-    of = np.repeat(np.arange(len(rows)), [len(r[0]) for r in rows])
-    order = np.argsort(keys := np.concatenate([r[0] for r in rows]), kind="stable")
-    return keys[order], [np.concatenate([r[k] for r in rows])[order] for k in range(1, len(rows[0]))], of[order]
+    """All names of a bucket in order, what goes with them, and the batch of each."""
+    planes = _joined(_decoded(table)) if "fine" in table.column_names else _tagged(table)
+    order = np.argsort(planes[0], kind="stable")
+    keys, *more, of = (x[order] for x in planes)
+    return keys, more, of.view(np.int64)
 
 
-def reply(table: pa.Table, of: np.ndarray, chosen: np.ndarray, keys: np.ndarray, *more: np.ndarray) -> pa.Table:
+def reply(table: pa.Table, to: Buckets, of: np.ndarray, chosen: np.ndarray, keys: np.ndarray, *more: np.ndarray) -> pa.Table:
+    """The chosen names, with what goes with them, for the batches that they are of."""
     at = np.flatnonzero(chosen)
-    at = at[np.argsort(of[at], kind="stable")]
-    rows, begin = np.unique(of[at], return_index=True)
-    batches = table.column("batch").to_numpy()[rows]
-    blobs = [encode(keys[x], *(m[x] for m in more)) for x in np.split(at, begin[1:])] if len(at) else []
-    return pa.table({"batch": pa.array(batches, pa.int64()), "names": pa.array(blobs, pa.binary())})
+    if "fine" not in table.column_names:
+        at = at[np.argsort(of[at], kind="stable")]
+        batches, begin = np.unique(of[at], return_index=True)
+        blobs = [encode(keys[x], *(m[x] for m in more)) for x in np.split(at, begin[1:])] if len(at) else []
+        return pa.table({"batch": pa.array(batches, pa.int64()), "names": pa.array(blobs, pa.binary())})
+    at = at[np.argsort(to.group(of[at]), kind="stable")]
+    groups, begin = np.unique(to.group(of[at]), return_index=True)
+    blobs = [encode(keys[x], *(m[x] for m in more), of[x].view(np.uint64)) for x in np.split(at, begin[1:])] if len(at) else []
+    return pa.table({"bucket": pa.array(np.full(len(blobs), table.column("bucket")[0].as_py(), np.int32)), "grp": pa.array(groups, pa.int32()), "names": pa.array(blobs, pa.binary())})
 
 
 def starts(*keys: np.ndarray) -> np.ndarray:
@@ -127,7 +229,7 @@ def starts(*keys: np.ndarray) -> np.ndarray:
     return new
 
 
-def shared(sent: DataFrame) -> DataFrame:
+def shared(sent: DataFrame, to: Buckets) -> DataFrame:
     """Back to each batch: its names that another batch also sent.
 
     With each name goes a check (or none), and a 1 if the batch itself holds
@@ -142,24 +244,24 @@ def shared(sent: DataFrame) -> DataFrame:
         begin = np.flatnonzero(starts(keys, *check))
         count = np.diff(np.append(begin, len(keys)))
         many = (count > 1) | (np.add.reduceat(multi, begin) > 0)
-        return reply(table, of, np.repeat(many, count), keys, *check)
+        return reply(table, to, of, np.repeat(many, count), keys, *check)
 
-    return sent.groupBy("bucket").applyInArrow(run, GOT)
+    return per_bucket(sent, to, run)
 
 
-def counted(sent: DataFrame) -> DataFrame:
+def counted(sent: DataFrame, to: Buckets) -> DataFrame:
     """Back to each batch: its names that stand in several places of all batches, with their number of places."""
 
     def run(table: pa.Table) -> pa.Table:
         keys, (n,), of = gather(table)
         begin = np.flatnonzero(starts(keys))
         total = np.repeat(np.add.reduceat(n, begin), np.diff(np.append(begin, len(keys))))
-        return reply(table, of, total > 1, keys, total)
+        return reply(table, to, of, total > 1, keys, total)
 
-    return sent.groupBy("bucket").applyInArrow(run, GOT)
+    return per_bucket(sent, to, run)
 
 
-def smallest(sent: DataFrame) -> DataFrame:
+def smallest(sent: DataFrame, to: Buckets) -> DataFrame:
     """Back to each batch: its (name, check) with the smallest value of all batches, where that is smaller than its own."""
 
     def run(table: pa.Table) -> pa.Table:
@@ -168,9 +270,9 @@ def smallest(sent: DataFrame) -> DataFrame:
         keys, check, value, of = keys[order], check[order], value[order], of[order]
         begin = np.flatnonzero(starts(keys, check))
         low = np.repeat(np.minimum.reduceat(value, begin), np.diff(np.append(begin, len(keys))))
-        return reply(table, of, low < value, keys, check, low)
+        return reply(table, to, of, low < value, keys, check, low)
 
-    return sent.groupBy("bucket").applyInArrow(run, GOT)
+    return per_bucket(sent, to, run)
 
 
 def received(table: pa.Table, width: int = 1) -> list[np.ndarray]:

@@ -118,10 +118,10 @@ def _chunks(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             number += 1
 
 
-def _name_lists(bits: int):
+def _name_lists(to: ex.Buckets):
     def run(chunk: pa.Table) -> pa.Table:
         names, n = np.unique(tn.mix(_keys(_signatures(chunk.column("sigs").to_pylist()))), return_counts=True)
-        return ex.send(chunk.column("batch")[0].as_py(), bits, names, n.astype(np.uint64))
+        return ex.send(chunk.column("batch")[0].as_py(), to, names, n.astype(np.uint64))
 
     return run
 
@@ -279,9 +279,9 @@ def _labelled(docs: DataFrame, n: int, percent: int) -> DataFrame:
     classes = checkpoint(classes.withColumn("rep", F.monotonically_increasing_id()))
 
     # the lists in which each class is posted, by their lengths over all classes; each with its hub
-    bits = ex.bucket_bits(docs)
+    to = ex.buckets(docs)
     chunks = classes.select("rep", "sig").mapInArrow(_chunks, "batch long, reps binary, sigs binary").repartition(ex.parts(docs), "batch")
-    lengths = ex.counted(ex.each(chunks, _name_lists(bits), ex.SENT))
+    lengths = ex.counted(ex.each(chunks, _name_lists(to), ex.SENT), to)
     posts = checkpoint(ex.per_batch(chunks, lengths, _post(least), "key long, rep long, w long, mask long, more long"))
     hubs = posts.groupBy("key").agg(F.max(F.struct("w", (-F.col("rep")).alias("r"))).alias("m")).select("key", (-F.col("m.r")).alias("hub"))
     pairs = posts.join(hubs, "key").where("rep != hub").select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b")).distinct()

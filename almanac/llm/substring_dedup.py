@@ -105,7 +105,7 @@ def _ranks(ids: list) -> tuple[np.ndarray, np.ndarray]:
     return value, null
 
 
-def _reveal(bits: int):
+def _reveal(to: ex.Buckets):
     def run(batch: pa.Table) -> pa.Table:
         ids, _, _, _, first, w = _words(batch)
         name, start, _ = _pairs(w, first)
@@ -115,7 +115,7 @@ def _reveal(bits: int):
         begin = np.flatnonzero(ex.starts(name))
         entries = ex.starts(name, doc).astype(np.uint64)
         multi = (np.add.reduceat(entries, begin) > 1).astype(np.uint64) if len(begin) else entries
-        return ex.send(batch.column("batch")[0].as_py(), bits, name[begin], multi)
+        return ex.send(batch.column("batch")[0].as_py(), to, name[begin], multi)
 
     return run
 
@@ -238,10 +238,10 @@ def _least(key: np.ndarray, check: np.ndarray, v: np.ndarray, got: pa.Table) ->
     return out
 
 
-def _send(batch: pa.Table, bits: int, key: np.ndarray, check: np.ndarray, v: np.ndarray) -> pa.Table:
+def _send(batch: pa.Table, to: ex.Buckets, key: np.ndarray, check: np.ndarray, v: np.ndarray) -> pa.Table:
     order, begin, low = _groups(key, check, v)
     # two checks under one key are two entries, in order
-    return ex.send(batch.column("batch")[0].as_py(), bits, key[order[begin]], check[order[begin]], low)
+    return ex.send(batch.column("batch")[0].as_py(), to, key[order[begin]], check[order[begin]], low)
 
 
 def _kinds(got: pa.Table, *kinds: int) -> list[pa.Table]:
@@ -249,27 +249,27 @@ def _kinds(got: pa.Table, *kinds: int) -> list[pa.Table]:
     return [got.filter(pa.array(kind == k)) if got.num_rows else got for k in kinds]
 
 
-def _none(bits: int) -> pa.Table:
-    return ex.send(0, bits, *[np.zeros(0, np.uint64)] * 3)
+def _none(to: ex.Buckets) -> pa.Table:
+    return ex.send(0, to, *[np.zeros(0, np.uint64)] * 3)
 
 
-def _settle(bits: int, window: int):
+def _settle(to: ex.Buckets, window: int):
     def run(batch: pa.Table, got: pa.Table) -> pa.Table:
         if not batch.num_rows:
-            return _none(bits)
-        return _send(batch, bits, *_Held(batch, window, got).long()[:3])
+            return _none(to)
+        return _send(batch, to, *_Held(batch, window, got).long()[:3])
 
     return run
 
 
-def _verify(bits: int, window: int):
+def _verify(to: ex.Buckets, window: int):
     def run(batch: pa.Table, got: pa.Table) -> pa.Table:
         if not batch.num_rows:
-            return _none(bits)
+            return _none(to)
         one, two = _kinds(got, 1, 2)
         held = _Held(batch, window, one)
         held.settle(two)
-        return _send(batch, bits, *held.windows())
+        return _send(batch, to, *held.windows())
 
     return run
 
@@ -308,11 +308,11 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 and the kept words joined by a space, per document."""
     if window < 10:
         raise ValueError("windows of fewer than ten words have no stable pair of symbols")
-    bits = ex.bucket_bits(docs)
+    to = ex.buckets(docs)
     packed = ex.pack(docs).repartition(ex.parts(docs), "batch")
-    one = ex.shared(ex.each(packed, _reveal(bits), ex.SENT)).withColumn("kind", F.lit(1))
-    two = ex.smallest(ex.per_batch(packed, one, _settle(bits, window), ex.SENT)).withColumn("kind", F.lit(2))
-    three = ex.smallest(ex.per_batch(packed, one.union(two), _verify(bits, window), ex.SENT)).withColumn("kind", F.lit(3))
+    one = ex.shared(ex.each(packed, _reveal(to), ex.SENT), to).withColumn("kind", F.lit(1))
+    two = ex.smallest(ex.per_batch(packed, one, _settle(to, window), ex.SENT), to).withColumn("kind", F.lit(2))
+    three = ex.smallest(ex.per_batch(packed, one.union(two), _verify(to, window), ex.SENT), to).withColumn("kind", F.lit(3))
     return ex.per_batch(packed, one.union(two).union(three), _finish(window), OUT)
 
 

@@ -112,21 +112,21 @@ def _runs(batch: pa.Table) -> tuple[np.ndarray, ...]:
     return first.astype(np.int64), (first + more).astype(np.int64), name, whole
 
 
-def _reveal(bits: int):
+def _reveal(to: ex.Buckets):
     def run(batch: pa.Table) -> pa.Table:
         name = np.sort(_runs(batch)[2])
         begin = np.flatnonzero(ex.starts(name))
         multi = (np.diff(np.append(begin, len(name))) > 1).astype(np.uint64)
-        return ex.send(batch.column("batch")[0].as_py(), bits, name[begin], multi)
+        return ex.send(batch.column("batch")[0].as_py(), to, name[begin], multi)
 
     return run
 
 
-def _context(bits: int):
+def _context(to: ex.Buckets):
     def run(batch: pa.Table, got: pa.Table) -> pa.Table:
         z = np.zeros(0, np.uint64)
         if not batch.num_rows or not got.num_rows:
-            return ex.send(0, bits, z, z, z)
+            return ex.send(0, to, z, z, z)
         _, _, name, whole = _runs(batch)
         keep = ex.found(name, ex.received(got)[0])
         name, whole = name[keep], whole[keep]
@@ -134,12 +134,12 @@ def _context(bits: int):
         name, whole = name[order], whole[order]
         begin = np.flatnonzero(ex.starts(name, whole))
         multi = (np.diff(np.append(begin, len(name))) > 1).astype(np.uint64)
-        return ex.send(batch.column("batch")[0].as_py(), bits, name[begin], whole[begin], multi)
+        return ex.send(batch.column("batch")[0].as_py(), to, name[begin], whole[begin], multi)
 
     return run
 
 
-def _settle(sent: DataFrame) -> DataFrame:
+def _settle(sent: DataFrame, to: ex.Buckets) -> DataFrame:
     """Verdict on each anchor and context: 1 settled, 2 to send its windows (one batch for each context)."""
 
     def run(table: pa.Table) -> pa.Table:
@@ -154,9 +154,9 @@ def _settle(sent: DataFrame) -> DataFrame:
         kinds = np.add.reduceat(new.astype(np.int64), top)
         several = np.repeat(kinds > 1, np.diff(np.append(top, len(key))))
         flag = settled.astype(np.uint64) + (several & new).astype(np.uint64) * np.uint64(2)
-        return ex.reply(table, of, flag > 0, key, whole, flag)
+        return ex.reply(table, to, of, flag > 0, key, whole, flag)
 
-    return sent.groupBy("bucket").applyInArrow(run, ex.GOT)
+    return ex.per_bucket(sent, to, run)
 
 
 def _flags(name: np.ndarray, whole: np.ndarray, got: pa.Table) -> np.ndarray:
@@ -192,16 +192,16 @@ def _halves(buf: np.ndarray, at: np.ndarray, early: int) -> tuple[np.ndarray, np
     return h[at], h[at + early - early // 2] & _TOP32
 
 
-def _pairs(batch: int, bits: int, a: np.ndarray, b: np.ndarray) -> pa.Table:
+def _pairs(batch: int, to: ex.Buckets, a: np.ndarray, b: np.ndarray) -> pa.Table:
     """The distinct pairs of a batch in order, each with whether it stands there repeatedly."""
     order = np.lexsort((b, a))
     a, b = a[order], b[order]
     begin = np.flatnonzero(ex.starts(a, b))
     multi = (np.diff(np.append(begin, len(a))) > 1).astype(np.uint64)
-    return ex.send(batch, bits, a[begin], b[begin], multi)
+    return ex.send(batch, to, a[begin], b[begin], multi)
 
 
-def _ranked(sent: DataFrame, bits: int) -> DataFrame:
+def _ranked(sent: DataFrame, to: ex.Buckets) -> DataFrame:
     """Back to each batch: its pairs that stand in several places, with their rank in the order of all pairs.
 
     A bucket holds a range of first members, so the buckets in turn are the whole order.
@@ -214,10 +214,10 @@ def _ranked(sent: DataFrame, bits: int) -> DataFrame:
         begin = np.flatnonzero(ex.starts(a, b))
         count = np.diff(np.append(begin, len(a)))
         many = np.repeat((count > 1) | (np.add.reduceat(multi, begin) > 0), count)
-        rank = (np.uint64(table.column("bucket")[0].as_py()) << np.uint64(64 - bits)) + np.repeat(np.arange(len(begin), dtype=np.uint64), count)
-        return ex.reply(table, of, many, a, b, rank)
+        rank = (np.uint64(ex.bucket_of(table)) << np.uint64(64 - to.bits)) + np.repeat(np.arange(len(begin), dtype=np.uint64), count)
+        return ex.reply(table, to, of, many, a, b, rank)
 
-    return sent.groupBy("bucket").applyInArrow(run, ex.GOT)
+    return ex.per_bucket(sent, to, run)
 
 
 def _rank_of(a: np.ndarray, b: np.ndarray, got: pa.Table) -> tuple[np.ndarray, np.ndarray]:
@@ -233,13 +233,13 @@ def _rank_of(a: np.ndarray, b: np.ndarray, got: pa.Table) -> tuple[np.ndarray, n
     return (ga[at] == a) & (gb[at] == b), rank[at]
 
 
-def _early(bits: int, early: int):
+def _early(to: ex.Buckets, early: int):
     def run(batch: pa.Table, got: pa.Table) -> pa.Table:
         if not batch.num_rows or not got.num_rows:
-            return ex.send(0, bits, *[np.zeros(0, np.uint64)] * 3)
+            return ex.send(0, to, *[np.zeros(0, np.uint64)] * 3)
         *_, at = _left(batch, got)
         _, buf, _ = ex.unpack(batch)
-        return _pairs(batch.column("batch")[0].as_py(), bits, *_halves(buf, at, early))
+        return _pairs(batch.column("batch")[0].as_py(), to, *_halves(buf, at, early))
 
     return run
 
@@ -251,16 +251,16 @@ def _late_pairs(buf: np.ndarray, off: np.ndarray, at: np.ndarray, rank: np.ndarr
     return at, rank, tn.span_hash(buf, at + length - early, at + length) & _TOP48 if len(at) else rank
 
 
-def _late(bits: int, early: int, length: int):
+def _late(to: ex.Buckets, early: int, length: int):
     def run(batch: pa.Table, got: pa.Table) -> pa.Table:
         if not batch.num_rows or not got.num_rows:
-            return ex.send(0, bits, *[np.zeros(0, np.uint64)] * 3)
+            return ex.send(0, to, *[np.zeros(0, np.uint64)] * 3)
         two, three = _kinds(got, 2, 3)
         *_, at = _left(batch, two)
         _, buf, off = ex.unpack(batch)
         there, rank = _rank_of(*_halves(buf, at, early), three)
         _, *pair = _late_pairs(buf, off, at[there], rank[there], early, length)
-        return _pairs(batch.column("batch")[0].as_py(), bits, *pair)
+        return _pairs(batch.column("batch")[0].as_py(), to, *pair)
 
     return run
 
@@ -327,12 +327,12 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, early: int = EARLY) -> D
     """
     if not 2 <= early <= length:
         raise ValueError("two bytes at least, and early <= length")
-    bits = ex.bucket_bits(docs)
+    to = ex.buckets(docs)
     packed = ex.pack(docs, _notes(early, length)).repartition(ex.parts(docs), "batch")
-    one = ex.shared(ex.each(packed, _reveal(bits), ex.SENT))
-    two = _settle(ex.per_batch(packed, one, _context(bits), ex.SENT)).withColumn("kind", F.lit(2))
-    three = _ranked(ex.per_batch(packed, two, _early(bits, early), ex.SENT), bits).withColumn("kind", F.lit(3))
-    four = _ranked(ex.per_batch(packed, two.union(three), _late(bits, early, length), ex.SENT), bits).withColumn("kind", F.lit(4))
+    one = ex.shared(ex.each(packed, _reveal(to), ex.SENT), to)
+    two = _settle(ex.per_batch(packed, one, _context(to), ex.SENT), to).withColumn("kind", F.lit(2))
+    three = _ranked(ex.per_batch(packed, two, _early(to, early), ex.SENT), to).withColumn("kind", F.lit(3))
+    four = _ranked(ex.per_batch(packed, two.union(three), _late(to, early, length), ex.SENT), to).withColumn("kind", F.lit(4))
     return ex.per_batch(packed, two.union(three).union(four), _finish(early, length), OUT)
 
 

@@ -8,7 +8,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from almanac.llm import fingerprint, packing, suffix_dedup
+from almanac.llm import exchange, fingerprint, near_dup, packing, substring_dedup, suffix_dedup
 from tests.llm.conftest import frame
 
 
@@ -42,10 +42,23 @@ def test_suffix_dedup(docs, none, rows, length, early):
 def test_ranks_decide_what_is_repeated(docs, monkeypatch):
     """Places leave by their rank: with every rank unique only settled stretches are found."""
     found = suffix_dedup.suffix_dedup(docs, 37, 20).agg({"n_removed": "sum"}).first()[0]
-    monkeypatch.setattr(suffix_dedup, "_ranked", lambda sent, bits: sent.select("batch", "names").limit(0))
+    monkeypatch.setattr(suffix_dedup, "_ranked", lambda sent, to: sent.select("batch", "names").limit(0))
     assert suffix_dedup.suffix_dedup(docs, 37, 20).agg({"n_removed": "sum"}).first()[0] < found
 
 
+@pytest.mark.parametrize("hop", [2, 3])
+def test_buckets_in_two_steps(docs, monkeypatch, hop):
+    """Names that go to ranges of buckets first come to the same verdicts, and a batch has no more rows than ranges."""
+    to = exchange.Buckets(8 + hop, hop)
+    assert not to.direct and to.groups == 4
+    want = [sorted(map(tuple, f(docs).drop("kept", "text").collect()), key=repr) for f in (suffix_dedup.suffix_dedup, substring_dedup.substring_dedup, near_dup.near_dup)]
+    monkeypatch.setattr(exchange, "buckets", lambda d: to)
+    got = [sorted(map(tuple, f(docs).drop("kept", "text").collect()), key=repr) for f in (suffix_dedup.suffix_dedup, substring_dedup.substring_dedup, near_dup.near_dup)]
+    assert got == want
+    sent = exchange.each(exchange.pack(docs, suffix_dedup._notes(20, 37), 4000), suffix_dedup._reveal(to), exchange.SENT)
+    assert sent.groupBy("batch").count().agg({"count": "max"}).first()[0] <= 1 << hop
+
+
 def test_packing(spark, docs, none, rows):
     from tokenizers import Tokenizer
 
