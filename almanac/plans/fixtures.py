@@ -1,7 +1,7 @@
 """Queries on rows written out here, each with the rows it must give.
 
-The tables hold no dates, sources or embedded metadata, so these operators are
-shown on small rows. The SQL of such a query is its expected result.
+They show edge cases; ``tables`` and ``derived`` have the operators over whole
+tables. The SQL of such a query is its expected result, which DuckDB repeats.
 """
 
 from __future__ import annotations
