@@ -179,6 +179,40 @@ def test_common_extensions_of_edited_texts(spark, rows):
         assert got[i] == (head, tail)
 
 
+def plain_fingerprint(text):
+    """The same minima by whole polynomial sums of plain integers, one span after another."""
+    primes, bases = (2147483647, 2147483629), (48271, 1389796)
+
+    def value(raw):
+        x = [sum((c + 1) * pow(b, k, p) for k, c in enumerate(raw)) % p for b, p in zip(bases, primes, strict=True)]
+        return x[0] << 31 | x[1]
+
+    def mixed(v):
+        return int(fingerprint.tn.mix(np.array([v], np.uint64))[0])
+
+    raw, n = text.encode(), fingerprint.SPAN
+    spans = [text[k : k + n].encode() for k in range(len(text) - n + 1)] or ([raw] if text else [])
+    low = {}
+    for x in spans:
+        h = mixed(value(x))
+        low[h >> 58] = min(h & (1 << 58) - 1, low.get(h >> 58, 1 << 60))
+    bits = [(mixed(low[k]) >> 48) | 1 if k in low else 0 for k in range(fingerprint.BINS)]
+    return f"{mixed(value(raw) ^ (len(raw) << 40) % 2**64):016x}" + "".join(f"{b:04x}" for b in bits)
+
+
+def test_fingerprints_by_plain_sums(spark):
+    r = random.Random(6)
+    texts = ["", "a", "é" * 15, "é" * 16, "x" * 40] + ["".join(r.choice("abcñ 漢") for _ in range(r.randint(17, 90))) for _ in range(6)]
+    got = {x["doc_id"]: x["fingerprint"] for x in fingerprint.fingerprint(frame(spark, list(enumerate(texts)))).collect()}
+    assert [got[k] for k in range(len(texts))] == [plain_fingerprint(t) for t in texts]
+    edited = fingerprint.edited(frame(spark, list(enumerate(texts)))).collect()
+    for x in edited:
+        own, nxt = got[x["doc_id"]], got[(x["doc_id"] + 1) % len(texts)]
+        a, b = ([int(f[16 + 4 * k : 20 + 4 * k], 16) for k in range(fingerprint.BINS)] for f in (own, nxt))
+        j = sum(p == q > 0 for p, q in zip(a, b, strict=True)) / max(sum(p > 0 or q > 0 for p, q in zip(a, b, strict=True)), 1)
+        assert x["near_next"] == pytest.approx(1.0 if own[:16] == nxt[:16] else 2 * j / (1 + j), abs=1e-6)
+
+
 def test_prefix_hashes():
     r = np.random.RandomState(0)
     buf = r.randint(97, 99, 400).astype(np.uint8)

@@ -1,5 +1,7 @@
 """Classifiers: gradients, held-out accuracy, and odd inputs."""
 
+import re
+
 import numpy as np
 import pyarrow as pa
 
@@ -111,3 +113,49 @@ def test_names_with_dots(spark, rows):
         assert set(docs.columns) <= set(out.columns)
         got = out.select("`a.b`", "`__line_repeats`", "`__own0`").collect()
         assert len(got) == 20 and {tuple(r) for r in got} == {("k", "b", "en")}
+
+
+def plain_score(net, text):
+    """One word after another, one window after another, in plain numbers."""
+    from math import exp, tanh
+
+    p, hidden, sig = net.p, toxicity.HIDDEN, lambda v: 1 / (1 + exp(-v))
+    words = re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text))
+
+    def gates(word):
+        raw = np.frombuffer(word.encode(), np.uint8)
+        h = int(tn.span_hash(raw, np.array([0]), np.array([len(raw)]))[0])
+        b = [0, *raw.tolist(), 0]
+        tri = [(((b[k] << 16 | b[k + 1] << 8 | b[k + 2]) * 2654435761) % 2**32 >> 20) % toxicity.TRIGRAMS for k in range(len(raw))]
+        x = np.concatenate((p["word"][h % toxicity.WORDS], p["char"][tri].mean(0)))
+        return x @ p["w"] + p["b"]
+
+    def layer(inputs, u):
+        h, out = np.zeros(hidden), []
+        for x in inputs:
+            hu, new = h @ u, np.zeros(hidden)
+            for k in range(hidden):
+                z, r = sig(x[k] + hu[k]), sig(x[hidden + k] + hu[hidden + k])
+                new[k] = z * h[k] + (1 - z) * tanh(x[2 * hidden + k] + r * hu[2 * hidden + k])
+            h = new
+            out.append(h)
+        return out
+
+    best = -1e9
+    for a in range(0, max(len(words) - toxicity.STRIDE, 1), toxicity.STRIDE):
+        own = [gates(w) for w in words[a : a + toxicity.WINDOW]]
+        there, back = layer([g[: 3 * hidden] for g in own], p["uf"]), layer([g[3 * hidden :] for g in own][::-1], p["ub"])[::-1]
+        states = [np.concatenate(x) for x in zip(there, back, strict=True)]
+        e = [exp(float(np.tanh(x @ p["wa"]) @ p["va"])) for x in states]
+        pooled = sum(k * x for k, x in zip(e, states, strict=True)) / sum(e)
+        best = max(best, float(pooled @ p["u"] + p["c"][0]))
+    return sig(best)
+
+
+def test_scores_by_plain_recurrence():
+    r = np.random.RandomState(9)
+    texts = [" ".join(r.choice(["Alpha", "beta", "gamma!", "délta", "x1", "y"], n)) for n in (1, 5, 63, 64, 65, 96, 97, 150)]
+    net = toxicity.train(texts * 3, np.arange(24) % 2, epochs=1)
+    got, _ = toxicity.score_texts(net, *tn.flatten(pa.array(texts)))
+    for text, x in zip(texts, got, strict=True):
+        assert abs(plain_score(net, text) - x) < 1e-4
