@@ -36,6 +36,8 @@ from almanac.llm import textnp as tn
 
 #: Bytes of names that a bucket gathers, about; it sets the number of buckets.
 BUCKET_BYTES = 8 << 20
+#: Bytes of the input that a partition gets at most, about.
+PART_BYTES = 128 << 20
 #: Leading bits of a name up to which batches send to buckets directly; bits of buckets that a task deals on at once.
 HOP_BITS, TASK_BITS = 10, 6
 #: Bytes of text of a packed batch, about.
@@ -87,19 +89,23 @@ class Buckets:
         return (tn.mix(np.asarray(batch, np.int64).view(np.uint64)) & np.uint64(self.groups - 1)).astype(np.int32)
 
 
-def buckets(docs: DataFrame) -> Buckets:
-    """Buckets for the documents' names, from the optimizer's size of the input.
-
-    Where the optimizer has no size, as for rows that come from an RDD, texts are measured.
-    """
+def _size(docs: DataFrame) -> int | None:
+    """The optimizer's size of the input; None where it has none, as for rows that come from an RDD."""
     size = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    if size >= 1 << 58:
+    return size if size < 1 << 58 else None
+
+
+def buckets(docs: DataFrame) -> Buckets:
+    """Buckets for the documents' names, from the size of the input; without one, texts are measured."""
+    size = _size(docs)
+    if size is None:
         size = docs.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
     return Buckets(max(6, min(20, (size // BUCKET_BYTES).bit_length())), HOP_BITS)
 
 
 def parts(docs: DataFrame) -> int:
-    return max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    """Partitions for the documents' rows: the session's number, or more where one would get more than PART_BYTES."""
+    return max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), (_size(docs) or 0) // PART_BYTES)
 
 
 def pack(docs: DataFrame, notes: Callable[[np.ndarray, np.ndarray], bytes] | None = None, most: int = PACKED_BYTES) -> DataFrame:

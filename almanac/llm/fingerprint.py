@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from almanac.llm import exchange as ex
 from almanac.llm import textnp as tn
 from almanac.llm.columns import adding, plus
 
@@ -212,8 +213,7 @@ def edited(docs: DataFrame) -> DataFrame:
     the first of each range also goes to the range before it. The driver holds
     two numbers a range.
     """
-    spark = docs.sparkSession
-    parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    parts = ex.parts(docs)
     # nulls sort before all ids
     own = docs.select(F.col("doc_id").alias("id"), F.coalesce("doc_id", F.lit(-(2**63))).alias("k"), F.coalesce("text", F.lit("")).alias("text"))
     share = [i / parts for i in range(1, parts)]
