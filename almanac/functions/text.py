@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import functools
+import operator
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -87,9 +91,19 @@ def scrub(binary: Column) -> Column:
     return F.translate(F.make_valid_utf8(binary.cast("string")), "�", " ")
 
 
+def has_any(c: Column, tokens: list[str]) -> Column:
+    """Whether the text holds one of the tokens, anywhere."""
+    return functools.reduce(operator.or_, [F.contains(c, F.lit(t)) for t in tokens])
+
+
+def once(c: Column, test: Callable[[Column], Column]) -> Column:
+    """A test of a value that is made once, however often the test names it."""
+    return F.exists(F.array(c), test)
+
+
 def has_token(c: Column, tokens: list[str]) -> Column:
     """Whether the lower-cased text holds one of the tokens, anywhere."""
-    return F.exists(F.array(*[F.lit(t) for t in tokens]), lambda t: F.contains(F.lower(c), t))
+    return once(F.lower(c), lambda x: has_any(x, tokens))
 
 
 def contains_similar(a: Column, b: Column, ratio: float = 0.6) -> Column:

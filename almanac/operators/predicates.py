@@ -25,8 +25,7 @@ def is_social(kind: Column, homepage: Column, listings: Column) -> Column:
     """The type names a social network or forum, or a URL's host holds one's name."""
     kind = F.lower(F.coalesce(kind, F.lit("")))
     all_urls = F.array_compact(F.concat(F.coalesce(listings, F.array().cast("array<string>")), F.array(homepage)))
-    tokens = F.array(*[F.lit(t) for t in fixed.SOCIAL_HOSTS])
-    on_host = F.exists(all_urls, lambda u: F.exists(tokens, lambda t: F.coalesce(F.contains(urls.host(u), t), F.lit(False))))
+    on_host = F.exists(F.transform(all_urls, urls.host), lambda h: F.coalesce(tx.has_any(h, fixed.SOCIAL_HOSTS), F.lit(False)))
     return F.contains(kind, F.lit("social")) | F.contains(kind, F.lit("forum")) | on_host
 
 
@@ -73,9 +72,14 @@ def failure_category(status: Column, error: Column) -> Column:
 
 def link_candidate(text: Column, inner: Column, href: Column, start: Column) -> Column:
     """No veto word anywhere, and a hint word or a date of the window."""
-    joined = F.lower(F.concat_ws(" ", text, inner, href))
-    dated = F.size(dt.candidates_v15(text, start)) > 0
-    return ~tx.has_token(joined, fixed.LINK_VETOES) & (tx.has_token(joined, fixed.LINK_HINTS) | dated)
+
+    def told(x: Column) -> Column:
+        dated = F.size(dt.candidates_v15(x["text"], start)) > 0
+        return ~tx.has_any(x["joined"], fixed.LINK_VETOES) & (tx.has_any(x["joined"], fixed.LINK_HINTS) | dated)
+
+    # the text, which takes many replacements, is made once for both
+    both = F.transform(F.array(text), lambda x: F.struct(x.alias("text"), F.lower(F.concat_ws(" ", x, inner, href)).alias("joined")))
+    return F.exists(both, told)
 
 
 def hopeful_chunk(chunk: Column, year: int = 2026) -> Column:
