@@ -6,8 +6,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
-#: Characters of a gram; shorter texts have grams of one.
-LONG = 8
+#: Characters of a gram: the most that a text has. Long ones are rare, so that few texts meet under one.
+SIZES = (32, 8, 1)
 _BY = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -33,20 +33,19 @@ def keys_of(text: str, percent: int) -> tuple[int | None, list[int]]:
     """The smallest gram of a text, and those that a part of ``percent`` of it, or more, can have as its smallest.
 
     A part of a text has that many grams in a row, so its smallest one is a minimum
-    of a run of them; there are but a few such minima. Parts of fewer than LONG
-    characters have grams of one character, so short texts list these as well.
+    of a run of them; there are but a few such minima. Parts too short for the larger
+    grams have smaller ones, so a text whose parts may be so short lists these as well.
     """
     chars = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
     n = len(chars)
     if not n:
         return None, []
-    least = -(-percent * n // 100)
-    found = [np.zeros(0, np.uint64)]
-    if n >= LONG:
-        found.append(_smallest(_grams(chars, LONG), max(least - LONG + 1, 1)))
-    if least < LONG:
-        found.append(_smallest(_grams(chars, 1), least))
-    own = _grams(chars, LONG if n >= LONG else 1).min()
+    least, found, longer = -(-percent * n // 100), [], n + 1
+    for q in SIZES:
+        if q <= n and least < longer:
+            found.append(_smallest(_grams(chars, q), max(least - q + 1, 1)))
+        longer = q
+    own = _grams(chars, next(q for q in SIZES if q <= n)).min()
     return int(own.view(np.int64)), np.concatenate(found).view(np.int64).tolist()
 
 

@@ -27,12 +27,16 @@ def text_events(pages: DataFrame, start: Column, days: int = fixed.WINDOW_DAYS,
     return hits.select("source_id", "url", F.struct("chunk_at", "date_at").alias("seq"), *predicates.event_v1(F.col("day"), F.col("source_name"), F.col("source_id"), F.col("url"), F.col("chunk")))
 
 
-def event_links(page_html: Column, url: Column, start: Column, most: int = MOST_LINKS) -> Column:
-    """The first links of a page that look like events: of its origin, not the page itself, each once."""
+def candidates(page_html: Column, url: Column, start: Column) -> Column:
+    """Links of a page that look like events and are of its origin, each once, in order."""
     found = F.transform(html.links(page_html), lambda a: F.struct(urls.resolve(a["href"], url).alias("link"), a["inner"].alias("inner")))
 
     def wanted(a: Column) -> Column:
-        near = F.startswith(a["link"], urls.origin(url)) & (a["link"] != url)
-        return F.coalesce(near & predicates.link_candidate(tx.clean_html(a["inner"]), a["inner"], a["link"], start), F.lit(False))
+        return F.coalesce(F.startswith(a["link"], urls.origin(url)) & predicates.link_candidate(tx.clean_html(a["inner"]), a["inner"], a["link"], start), F.lit(False))
+
+    return F.array_distinct(F.transform(F.filter(found, wanted), lambda a: a["link"]))
 
-    return F.slice(F.array_distinct(F.transform(F.filter(found, wanted), lambda a: a["link"])), 1, most)
+
+def event_links(page_html: Column, url: Column, start: Column, most: int = MOST_LINKS) -> Column:
+    """The first candidates of a page, without the page itself."""
+    return F.slice(F.filter(candidates(page_html, url, start), lambda x: x != url), 1, most)

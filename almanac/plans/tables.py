@@ -122,9 +122,8 @@ _WANTED = f"""SELECT * FROM (SELECT page_id, url, x, {_ABSOLUTE} AS link, lower(
 
 @query(f"SELECT DISTINCT page_id, link FROM ({_WANTED})")
 def link_candidates(t):
-    p = _listings(t).select("page_id", "url", F.explode(html.links(F.col("html"))).alias("a")).select("page_id", "url", urls.resolve("a.href", "url").alias("link"), F.col("a.inner").alias("inner"))
-    p = p.where(F.startswith("link", urls.origin(F.col("url"))))
-    return p.where(predicates.link_candidate(tx.clean_html(F.col("inner")), F.col("inner"), F.col("link"), F.lit("2024-01-01").cast("date"))).select("page_id", "link").distinct()
+    found = extract.candidates(F.col("html"), F.col("url"), F.lit("2024-01-01").cast("date"))
+    return _listings(t).select("page_id", F.explode(found).alias("link"))
 
 
 @query(f"SELECT page_id, place, link FROM (SELECT page_id, link, row_number() OVER (PARTITION BY page_id ORDER BY min(x)) AS place FROM ({_WANTED}) WHERE link <> url GROUP BY page_id, link) WHERE place <= 5")
