@@ -100,7 +100,7 @@ def _title_links(titles: DataFrame, percent: int = 60) -> DataFrame:
     under those that a part of ``percent`` of it can have as smallest: a few each,
     so no pair of strangers is built.
     """
-    keyed = titles.withColumn("k", containment_keys(percent)("title_norm"))
+    keyed = checkpoint(titles.withColumn("k", containment_keys(percent)("title_norm")))
     posted = keyed.select(*_TITLE, "rep", F.col("k.own").alias("key"))
     probes = keyed.select("date_key", "venue_norm", F.col("title_norm").alias("holder"), F.col("rep").alias("long"), F.explode("k.parts").alias("key"))
     met = posted.join(probes, ["date_key", "venue_norm", "key"]).where(F.length("title_norm") < F.length("holder"))
