@@ -6,6 +6,9 @@ import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Whether the shuffle files of a query go when it ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder that the cluster names in spark.checkpoint.dir, set as Spark's own.
@@ -22,6 +25,19 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def checkpoint(df: DataFrame) -> DataFrame:
-    """The frame, written to the shared folder; its lineage ends there."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """The frame, written to the shared folder; its lineage ends there.
+
+    The shuffle files that it was made from go with the job that has written it, and not when the driver
+    happens to collect its garbage. The setting counts for frames made under it: for a new one of the same rows.
+    """
+    spark = df.sparkSession
+    shared_folder(spark)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        return df.select("*").checkpoint(eager=True)
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
