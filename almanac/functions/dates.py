@@ -21,8 +21,8 @@ def _date(y: Column, m: Column, d: Column) -> Column:
 
 
 def _matches(text: Column, pattern: str, fields: int) -> Column:
-    """Array of arrays: the groups of each match, in order."""
-    whole = F.regexp_extract_all(text, F.lit(f"({pattern})"), F.lit(1))
+    """Array of arrays: the groups of each different match, in order."""
+    whole = F.array_distinct(F.regexp_extract_all(text, F.lit(f"({pattern})"), F.lit(1)))
     return F.transform(whole, lambda x: F.array(*[F.regexp_extract(x, f"^{pattern.replace(_L, '').replace(_R, '')}$", k + 1) for k in range(fields)]))
 
 
@@ -48,9 +48,8 @@ def candidates_v1(text: Column, year: int = 2026) -> Column:
     )
 
 
-def candidates_v15(text: Column, start: Column, days: int = fixed.WINDOW_DAYS) -> Column:
-    """All dates within the window; a date without a year may fall into the next one."""
-    end = F.date_add(start, days)
+def _by_kind_v15(text: Column, start: Column, end: Column) -> list[Column]:
+    """Arrays of dates, one a pattern; a date without a year may fall into the next one."""
     crosses = F.year(end) > F.year(start)
 
     def near(y: Column, m: Column, d: Column) -> Column:
@@ -59,22 +58,38 @@ def candidates_v15(text: Column, start: Column, days: int = fixed.WINDOW_DAYS) -
 
     iso = _matches(text, rf"{_L}(\d{{4}})[-./](\d{{1,2}})[-./](\d{{1,2}}){_R}", 3)
     dotted = _matches(text, rf"{_L}(\d{{1,2}})\.(\d{{1,2}})\.(\d{{4}}){_R}", 3)
-    short = F.transform(F.regexp_extract_all(text, F.lit(rf"{_L}(\d{{1,2}}\.\d{{1,2}}\.)(?!\d)"), F.lit(1)), lambda x: F.split(x, r"\."))
+    short = F.transform(F.array_distinct(F.regexp_extract_all(text, F.lit(rf"{_L}(\d{{1,2}}\.\d{{1,2}}\.)(?!\d)"), F.lit(1))), lambda x: F.split(x, r"\."))
     named = _matches(text, rf"(?iu){_L}(\d{{1,2}})\s+([{fixed.MONTH_LETTERS}]+)\s*(\d{{4}})?", 3)
 
     def month(x: Column) -> Column:
         m = month_number(x[1], fixed.MONTHS_V15)
         return F.when(x[2] == "", near(F.year(start), m, x[0])).otherwise(_date(F.nullif(x[2], F.lit("")), m, x[0]))
 
-    found = _keep(
-        [
-            F.transform(iso, lambda x: _date(x[0], x[1], x[2])),
-            F.transform(dotted, lambda x: _date(x[2], x[1], x[0])),
-            F.transform(short, lambda x: near(F.year(start), x[1], x[0])),
-            F.transform(named, month),
-        ]
-    )
-    return F.filter(found, lambda x: x.between(start, end))
+    return [
+        F.transform(iso, lambda x: _date(x[0], x[1], x[2])),
+        F.transform(dotted, lambda x: _date(x[2], x[1], x[0])),
+        F.transform(short, lambda x: near(F.year(start), x[1], x[0])),
+        F.transform(named, month),
+    ]
+
+
+def _if_digits(text: Column, found: Column, none: Column) -> Column:
+    """No date is without a digit, and most texts are."""
+    return F.when(~text.rlike("[0-9]"), none).otherwise(found)
+
+
+def candidates_v15(text: Column, start: Column, days: int = fixed.WINDOW_DAYS) -> Column:
+    """All dates within the window."""
+    end = F.date_add(start, days)
+    found = F.filter(_keep(_by_kind_v15(text, start, end)), lambda x: x.between(start, end))
+    return _if_digits(text, found, F.array().cast("array<date>"))
+
+
+def first_v15(text: Column, start: Column, days: int = fixed.WINDOW_DAYS) -> Column:
+    """The first of these dates, or null; patterns after the one that has it are not tried."""
+    end = F.date_add(start, days)
+    firsts = [F.get(F.filter(k, lambda x: x.between(start, end)), F.lit(0)) for k in _by_kind_v15(text, start, end)]
+    return _if_digits(text, F.coalesce(*firsts), F.lit(None).cast("date"))
 
 
 _FIRST = r"(\d{4}-\d{2}-\d{2}|\d{1,2}\.\d{1,2}\.\d{4})"

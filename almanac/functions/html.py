@@ -38,7 +38,13 @@ def json_ld_blobs(html: Column) -> Column:
 def heading(html: Column) -> Column:
     """Text of the first h1, else h2, ... h5, strong, else of the first anchor; null if all are empty."""
     tags = ["h1", "h2", "h3", "h4", "h5", "strong", "a"]
-    return F.coalesce(*[F.nullif(tx.clean_html(F.regexp_extract(html, rf"(?is)<{t}\b[^>]*>(.*?)</{t}>", 1)), F.lit("")) for t in tags])
+
+    def text(t: str, low: Column) -> Column:
+        # a plain search tells sooner than the pattern that a tag is absent
+        found = F.when(F.contains(low, F.lit(f"<{t}")), F.regexp_extract(html, rf"(?is)<{t}\b[^>]*>(.*?)</{t}>", 1))
+        return tx.let(found, lambda x: F.when(x != "", tx.let(tx.clean_html(x), lambda y: F.nullif(y, F.lit("")))))
+
+    return tx.let(F.lower(html), lambda low: F.coalesce(*[text(t, low) for t in tags]))
 
 
 # Articles, and opening tags with a telling class, each with the characters after it.
@@ -54,12 +60,15 @@ def blocks(html: Column) -> Column:
     items, then sections, then boxes with a telling class follow, each as the
     characters after its tag, until there are three blocks.
     """
-    found = F.regexp_extract_all(html, F.lit(_ARTICLE), F.lit(1))
-    out = F.when(F.size(found) >= ENOUGH, found)
-    for pattern in _AFTER:
-        found = F.concat(found, F.regexp_extract_all(html, F.lit(pattern), F.lit(1)))
-        out = out.when(F.size(found) >= ENOUGH, F.slice(found, 1, MOST_BLOCKS))
-    return F.coalesce(out.otherwise(F.slice(found, 1, MOST_BLOCKS)), F.array().cast("array<string>"))
+    def more(found: Column, patterns: list[str]) -> Column:
+        if not patterns:
+            return found
+        wider = tx.let(F.concat(found, F.regexp_extract_all(html, F.lit(patterns[0]), F.lit(1))), lambda x: more(x, patterns[1:]))
+        return F.when(F.size(found) >= ENOUGH, found).otherwise(wider)
+
+    articles = F.regexp_extract_all(html, F.lit(_ARTICLE), F.lit(1))
+    found = tx.let(articles, lambda a: F.when(F.size(a) >= ENOUGH, a).otherwise(F.slice(more(a, _AFTER), 1, MOST_BLOCKS)))
+    return F.coalesce(found, F.array().cast("array<string>"))
 
 
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}

@@ -101,6 +101,11 @@ def once(c: Column, test: Callable[[Column], Column]) -> Column:
     return F.exists(F.array(c), test)
 
 
+def let(c: Column, f: Callable[[Column], Column]) -> Column:
+    """A function of a value that is made once, however often the function names it."""
+    return F.get(F.transform(F.array(c), f), F.lit(0))
+
+
 def has_token(c: Column, tokens: list[str]) -> Column:
     """Whether the lower-cased text holds one of the tokens, anywhere."""
     return once(F.lower(c), lambda x: has_any(x, tokens))

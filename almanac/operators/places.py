@@ -1,4 +1,4 @@
-"""Places in a global order, without one task that holds all rows."""
+"""Places of rows: in a global order, and on the cores, without one task that holds all rows."""
 
 from __future__ import annotations
 
@@ -22,3 +22,13 @@ def placed(df: DataFrame, order: list[Column], name: str = "place") -> DataFrame
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select("_range", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
     return ranged.join(F.broadcast(starts), "_range").withColumn(name, F.col("_start") + F.col("_n") + 1).drop("_at", "_range", "_n", "_start")
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """The rows dealt over all cores: for short rows that become long ones.
+
+    A file of a few megabytes is read in one task or two, however much is then made of its rows.
+    """
+    spark = df.sparkSession
+    tasks = max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")), df.rdd.getNumPartitions())
+    return df.repartition(tasks)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from almanac.functions import dates as dt
 from almanac.functions import fixed, html, jsonld, rank, urls
 from almanac.functions import text as tx
-from almanac.operators import merge, predicates, quality, report, windows
+from almanac.operators import merge, places, predicates, quality, report, windows
 from almanac.sources import documents
 
 QUERIES: dict = {}
@@ -276,16 +276,17 @@ def _marked(t) -> DataFrame:
 
     dated = lambda tag, cls: F.concat(F.lit(f"<{tag}{cls}><h3>T "), _text(_k()), F.lit(f"</h3> 5.2.2024</{tag}>"))
     page = F.concat(times(_k() % 5, dated("article", "")), times(_k() % 4, dated("li", " class='x item'")), times(_k() % 3, dated("section", ' class="event"')), times((_k() % 7) * 12, dated("div", " class='card'")), F.lit("<li class='nav'>n</li>"))
-    return t("customer").select(_k().alias("k"), page.alias("html"))
+    return places.spread(t("customer").select("c_custkey")).select(_k().alias("k"), page.alias("html"))
 
 
 @query(f"SELECT k, n, least(n, 30) AS events, CASE WHEN n > 0 THEN 'T ' || k END AS title FROM (SELECT k, CASE WHEN a >= 3 THEN a WHEN a + l >= 3 THEN a + l WHEN a + l + s >= 3 THEN a + l + s ELSE least(a + l + s + b, 60) END AS n FROM ({_TAGS}))")
 def marked_blocks(t):
     """Blocks of each page, and its events: the first thirty blocks with a heading and a date."""
-    b = _marked(t).select("k", html.blocks(F.col("html")).alias("blocks"))
-    each = b.select("k", F.posexplode("blocks").alias("at", "block")).select("k", "at", html.heading(F.col("block")).alias("title"), F.get(dt.candidates_v15(F.col("block"), F.lit("2024-01-01").cast("date")), F.lit(0)).alias("day"))
-    events = windows.cap(each.where("title IS NOT NULL AND day IS NOT NULL"), ["k"], ["at"], html.MOST_EVENTS).groupBy("k").agg(F.count("*").alias("events"), F.max("title").alias("title"))
-    return b.select("k", F.size("blocks").cast("long").alias("n")).join(events, "k", "left").select("k", "n", F.coalesce("events", F.lit(0)).alias("events"), "title")
+    titled = F.filter(F.transform("blocks", lambda x: F.struct(x.alias("block"), html.heading(x).alias("title"))), lambda x: x["title"].isNotNull())
+    dated = F.filter(titled, lambda x: dt.first_v15(x["block"], F.lit("2024-01-01").cast("date")).isNotNull())
+    events = F.transform(F.slice(dated, 1, html.MOST_EVENTS), lambda x: x["title"])
+    b = _marked(t).select("k", html.blocks(F.col("html")).alias("blocks")).select("k", F.size("blocks").cast("long").alias("n"), events.alias("titles"))
+    return b.select("k", "n", F.size("titles").cast("long").alias("events"), F.array_max("titles").alias("title"))
 
 
 @query(
