@@ -48,35 +48,57 @@ def trim_slash(url: Column) -> Column:
 
 def _without_dots(path: Column) -> Column:
     """A path without its ``.`` and ``..`` steps; none leads above the root."""
-    steps = F.split(path, "/")
-    last = F.element_at(steps, -1)
     none = F.array().cast("array<string>")
 
     def step(done: Column, x: Column) -> Column:
         up = F.when(F.size(done) > 1, F.slice(done, 1, F.size(done) - 1)).otherwise(done)
         return F.when(x == "..", up).when(x == ".", done).otherwise(F.concat(done, F.array(x)))
 
-    kept = F.aggregate(steps, none, step)
-    return F.array_join(F.when(last.isin(".", ".."), F.concat(kept, F.array(F.lit("")))).otherwise(kept), "/")
+    def kept(steps: Column) -> Column:
+        tail = F.when(F.element_at(steps, -1).isin(".", ".."), F.array(F.lit(""))).otherwise(none)
+        return F.array_join(F.concat(F.aggregate(steps, none, step), tail), "/")
+
+    dotted = F.contains(path, F.lit("/.")) | F.startswith(path, F.lit("."))
+    return F.when(dotted, tx.let(F.split(path, "/"), kept)).otherwise(path)
+
+
+def base_parts(base: Column) -> Column:
+    """What references are resolved by: a URL itself, its scheme, place, path and query, and its folder."""
+    names = ("scheme", "place", "path", "query")
+    pieces = [F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.-]*:)?(//[^/?#]*)?([^?#]*)(\?[^#]*)?", k).alias(n) for k, n in enumerate(names, 1)]
+
+    def whole(b: Column) -> Column:
+        folder = tx.let(F.regexp_extract(b["path"], r"^(.*/)", 1), lambda x: F.when(x != "", x).when(b["place"] == "", "").otherwise("/"))
+        return F.struct(base.alias("base"), *[b[n].alias(n) for n in names], folder.alias("folder"))
+
+    return tx.let(F.struct(*pieces), whole)
+
+
+def resolve_by(href: Column, b: Column) -> Column:
+    """The absolute URL of a reference, by the parts of its base; null if either is null."""
+    scheme, place = b["scheme"], b["place"]
+
+    def of(h: Column, own: Column) -> Column:
+        rest = F.when(own == h, "").otherwise(F.regexp_extract(h, r"^[^?#]*(.*)$", 1))
+        return (
+            F.when(h == "", b["base"])
+            .when(F.contains(h, F.lit(":")) & h.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), h)
+            .when(F.startswith(h, F.lit("//")), F.concat(scheme, h))
+            .when(F.startswith(h, F.lit("#")), F.concat(scheme, place, b["path"], b["query"], rest))
+            .when(own == "", F.concat(scheme, place, b["path"], rest))
+            .otherwise(F.concat(scheme, place, tx.let(F.when(F.startswith(own, F.lit("/")), own).otherwise(F.concat(b["folder"], own)), _without_dots), rest))
+        )
+
+    def bound(h: Column) -> Column:
+        return tx.let(F.substring_index(F.substring_index(h, "?", 1), "#", 1), lambda own: of(h, own))
+
+    return F.when(href.isNotNull() & b["base"].isNotNull(), tx.let(tx.strip(href), bound))
 
 
 def resolve(href: Column | str, base: Column | str) -> Column:
     """The absolute URL of a reference; null if either is null."""
     href, base = (F.col(c) if isinstance(c, str) else c for c in (href, base))
-    h = tx.strip(href)
-    scheme, place, path, query = (F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.-]*:)?(//[^/?#]*)?([^?#]*)(\?[^#]*)?", k) for k in (1, 2, 3, 4))
-    own, rest = F.regexp_extract(h, r"^([^?#]*)", 1), F.regexp_extract(h, r"^[^?#]*(.*)$", 1)
-    folder = F.regexp_extract(path, r"^(.*/)", 1)
-    folder = F.when(folder == "", F.when(place == "", "").otherwise("/")).otherwise(folder)
-    return (
-        F.when(href.isNull() | base.isNull(), F.lit(None).cast("string"))
-        .when(h == "", base)
-        .when(h.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), h)
-        .when(F.startswith(h, F.lit("//")), F.concat(scheme, h))
-        .when(F.startswith(h, F.lit("#")), F.concat(scheme, place, path, query, rest))
-        .when(own == "", F.concat(scheme, place, path, rest))
-        .otherwise(F.concat(scheme, place, _without_dots(F.when(F.startswith(own, F.lit("/")), own).otherwise(F.concat(folder, own))), rest))
-    )
+    return tx.let(base_parts(base), lambda b: resolve_by(href, b))
 
 
 def source_urls(homepage: Column, listings: Column) -> Column:

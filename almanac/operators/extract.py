@@ -29,12 +29,17 @@ def text_events(pages: DataFrame, start: Column, days: int = fixed.WINDOW_DAYS,
 
 def candidates(page_html: Column, url: Column, start: Column) -> Column:
     """Links of a page that look like events and are of its origin, each once, in order."""
-    found = F.transform(html.links(page_html), lambda a: F.struct(urls.resolve(a["href"], url).alias("link"), a["inner"].alias("inner")))
+    parts = F.struct(urls.base_parts(url).alias("base"), urls.origin(url).alias("origin"))
 
-    def wanted(a: Column) -> Column:
-        return F.coalesce(F.startswith(a["link"], urls.origin(url)) & predicates.link_candidate(tx.clean_html(a["inner"]), a["inner"], a["link"], start), F.lit(False))
+    def wanted(a: Column, page: Column) -> Column:
+        return F.coalesce(F.startswith(a["link"], page["origin"]) & predicates.link_candidate(a["inner"], a["link"], start), F.lit(False))
 
-    return F.array_distinct(F.transform(F.filter(found, wanted), lambda a: a["link"]))
+    def of(page: Column) -> Column:
+        found = F.transform(html.links(page_html), lambda a: F.struct(urls.resolve_by(a["href"], page["base"]).alias("link"), a["inner"].alias("inner")))
+        return F.array_distinct(F.transform(F.filter(found, lambda a: wanted(a, page)), lambda a: a["link"]))
+
+    # what the page alone decides is made once for all its links
+    return tx.let(parts, of)
 
 
 def event_links(page_html: Column, url: Column, start: Column, most: int = MOST_LINKS) -> Column:

@@ -70,16 +70,18 @@ def failure_category(status: Column, error: Column) -> Column:
     return F.coalesce(by_error, F.when(status == 403, "ACCESS_DENIED").when(status >= 400, "FETCH_ERROR"))
 
 
-def link_candidate(text: Column, inner: Column, href: Column, start: Column) -> Column:
-    """No veto word anywhere, and a hint word or a date of the window."""
+def link_candidate(inner: Column, href: Column, start: Column) -> Column:
+    """No veto word anywhere, and a hint word or a date of the window.
 
-    def told(x: Column) -> Column:
-        dated = F.size(dt.candidates_v15(x["text"], start)) > 0
-        return ~tx.has_any(x["joined"], fixed.LINK_VETOES) & (tx.has_any(x["joined"], fixed.LINK_HINTS) | dated)
+    What the words are sought in is the link's text, markup and target. A word of the text stands in the markup
+    too, as cleaning puts only spaces and quotes in; so the text is made for links that a date must decide.
+    """
 
-    # the text, which takes many replacements, is made once for both
-    both = F.transform(F.array(text), lambda x: F.struct(x.alias("text"), F.lower(F.concat_ws(" ", x, inner, href)).alias("joined")))
-    return F.exists(both, told)
+    def told(joined: Column) -> Column:
+        dated = tx.once(tx.clean_html(inner), lambda x: dt.first_v15(x, start).isNotNull())
+        return ~tx.has_any(joined, fixed.LINK_VETOES) & (tx.has_any(joined, fixed.LINK_HINTS) | dated)
+
+    return tx.once(F.lower(F.concat_ws(" ", inner, href)), told)
 
 
 def hopeful_chunk(chunk: Column, year: int = 2026) -> Column:

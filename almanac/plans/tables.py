@@ -109,7 +109,7 @@ def _listings(t) -> DataFrame:
         return F.concat(F.lit('<a href="'), path, F.lit('"><b>'), text, F.lit("</b></a>"))
 
     made = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(23)), link), "\n")
-    return t("pages").select("page_id", "url", "html").union(t("customer").select(k + 1000000, own, made))
+    return t("pages").select("page_id", "url", "html").union(places.spread(t("customer").select("c_custkey")).select(k + 1000000, own, made))
 
 
 _MADE = f"""SELECT page_id, url, unnest({_HREF.format(k=1)}) AS href, unnest({_HREF.format(k=2)}) AS inner_html, unnest(range(len({_HREF.format(k=1)}))) AS x FROM (SELECT page_id, url, html FROM pages

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from almanac.functions import dates as dt
-from almanac.plans import derived
+from almanac.plans import derived, tables
 
 SF = "/root/testdata/sf0.01"
 
@@ -37,3 +37,9 @@ def test_first_date_is_first_of_all(spark):
     for r in t.select(dt.first_v15(F.col("x"), start).alias("a"), F.get(dt.candidates_v15(F.col("x"), start), F.lit(0)).alias("b"), F.size(dt.candidates_v15(F.col("x"), start)).alias("n"), "x").collect():
         assert r["a"] == r["b"], r["x"]
     assert t.select(dt.candidates_v15(F.col("x"), start).alias("c")).where("c IS NULL").count() == 1
+
+
+def test_listings_are_spread(spark, reader):
+    made = tables._listings(reader)
+    assert made.rdd.getNumPartitions() >= 4 * spark.sparkContext.defaultParallelism
+    assert same_as_sql(spark, tables, "event_links")
