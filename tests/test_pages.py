@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from almanac.functions import dates as dt
+from almanac.functions import urls
 from almanac.plans import derived, tables
 
 SF = "/root/testdata/sf0.01"
@@ -42,4 +43,16 @@ def test_first_date_is_first_of_all(spark):
 def test_listings_are_spread(spark, reader):
     made = tables._listings(reader)
     assert made.rdd.getNumPartitions() >= 4 * spark.sparkContext.defaultParallelism
-    assert same_as_sql(spark, tables, "event_links")
+    assert same_as_sql(spark, tables, "event_links") and same_as_sql(spark, tables, "link_candidates")
+
+
+def test_references_by_parts_of_their_base(spark):
+    """As the standard library has it, over bases with and without a path, and references of all kinds."""
+    from urllib.parse import urljoin
+
+    bases = ["https://a.b/c/d?q=1", "https://a.b", "https://a.b/", "https://a.b/c/../d/"]
+    hrefs = ["x", "/x", "./x", "../x", "../../x/.", "/x/../y/./z", "x/..", "//h/p", "?k=2", "x?y=/../z", "http://o.p/./q", "x:y", "/x?u=a:b"]
+    t = spark.createDataFrame([(b, h) for b in bases for h in hrefs], "b string, h string")
+    for r in t.withColumn("u", urls.resolve("h", "b")).collect():
+        assert r["u"] == urljoin(r["b"], r["h"]), r
+    assert spark.createDataFrame([(None, "x"), ("https://a.b", None)], "b string, h string").where(urls.resolve("h", "b").isNotNull()).count() == 0
