@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructField, StructType
 
 from almanac.functions import dates as dt
 from almanac.functions import rank, urls
@@ -82,7 +84,9 @@ def changed_fields(before: dict[str, Column], after: dict[str, Column]) -> Colum
 
 # Fields that a merge fills where they are empty.
 _FILL = ["name", "source_type", "event_focus", "geo_coverage", "languages", "access_type", "crawl_frequency", "robots_txt_checked", "active"]
+_UNITED = ("event_listing_urls", "genre_tags")
 _RANK = {"low": 0, "medium": 1, "high": 2}
+_BATCH = 4096
 
 
 def _empty(v) -> bool:
@@ -93,76 +97,99 @@ def _list(v) -> list:
     return [] if v is None else list(v)
 
 
-def fold_component(rows: pd.DataFrame) -> pd.DataFrame:
+class _Fold:
     """Sources linked by URLs, merged one after another; known ones (side 0) come first.
 
     An incoming source merges into the lowest-indexed holder of its first known
-    URL, or starts a new row, which later ones may match.
+    URL, or starts a new row, which later ones may match. A row costs what it brings, however much its holder has.
     """
-    holders: dict[str, int] = {}
-    out: list[dict] = []
-    norms = {u: n for row in rows.to_dict("records") for u, n in zip([row["homepage_url"], *_list(row["event_listing_urls"])], _list(row["norms"]), strict=True)}
 
-    def claim(i: int) -> None:
-        for u in (out[i]["homepage_url"], *_list(out[i]["event_listing_urls"])):
-            if norms.get(u) is not None:
-                holders.setdefault(norms[u], i)
+    def __init__(self) -> None:
+        self.holders: dict[str, int] = {}
+        self.out: list[dict] = []
+        self.had: list[dict[str, dict]] = []
 
-    for row in rows.sort_values(["side", "pos"]).to_dict("records"):
-        at = None if row["side"] == 0 else next((holders[u] for u in _list(row["urls"]) if u in holders), None)
+    def add(self, row: dict) -> None:
+        norms = dict(zip([row["homepage_url"], *_list(row["event_listing_urls"])], row["norms"], strict=True))
+        at = None if row["side"] == 0 else next((self.holders[u] for u in _list(row["urls"]) if u in self.holders), None)
         if at is None:
-            out.append(row | {"changes": [], "is_new": bool(row["side"])})
-            claim(len(out) - 1)
-            continue
-        own, changes = out[at], []
+            at = len(self.out)
+            self.out.append(row | {"changes": [], "is_new": bool(row["side"])})
+            self.had.append({f: dict.fromkeys(x for x in _list(row[f]) if x is not None) for f in _UNITED})
+            self._claim(at, norms.values())
+            return
+        own, had, changes, gained = self.out[at], self.had[at], [], []
         if _RANK.get(row["confidence"], -1) > _RANK.get(own["confidence"], -1):
             own["confidence"] = row["confidence"]
             changes.append("confidence")
-        for f in ("event_listing_urls", "genre_tags"):
-            union = list(dict.fromkeys(x for x in [*_list(own[f]), *_list(row[f])] if x is not None))
-            if len(union) > len(_list(own[f])):
-                own[f] = union
+        for f in _UNITED:
+            more = [x for x in dict.fromkeys(_list(row[f])) if x is not None and x not in had[f]]
+            if len(had[f]) + len(more) > len(_list(own[f])):
+                if own[f] is None or len(own[f]) > len(had[f]):
+                    own[f] = list(had[f])
+                own[f].extend(more)
+                had[f].update(dict.fromkeys(more))
                 changes.append(f)
+                gained += more if f == "event_listing_urls" else []
         if not str(own["homepage_url"] or "").strip() and str(row["homepage_url"] or "").strip():
             own["homepage_url"] = row["homepage_url"]
             changes.append("homepage_url")
+            gained.append(row["homepage_url"])
         for f in _FILL:
             if f in row and row[f] is not None and _empty(own[f]):
                 own[f] = row[f]
                 changes.append(f)
         if changes:
-            own["changes"] = [*own["changes"], ",".join(sorted(set(changes)))]
-        claim(at)
-    return pd.DataFrame(out)
+            own["changes"].append(",".join(sorted(set(changes))))
+        self._claim(at, (norms[u] for u in gained))
+
+    def _claim(self, at: int, norms: Iterable[str | None]) -> None:
+        for n in norms:
+            if n is not None:
+                self.holders.setdefault(n, at)
+
+
+def _folded(schema: StructType):
+    """A function of batches of rows sorted by component, side and pos: the rows of each component folded."""
+    arrow = to_arrow_schema(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ready, fold, component = [], _Fold(), None
+        for batch in batches:
+            for row in batch.to_pylist():
+                if row["component"] != component:
+                    ready += fold.out
+                    fold, component = _Fold(), row["component"]
+                fold.add(row)
+            if len(ready) >= _BATCH:
+                yield pa.RecordBatch.from_pylist(ready, arrow)
+                ready = []
+        yield pa.RecordBatch.from_pylist(ready + fold.out, arrow)
+
+    return run
 
 
 def merge_sources(known: DataFrame, incoming: DataFrame) -> DataFrame:
     """The known sources with the incoming ones merged in or added.
 
     Sources that share URLs, directly or through others, form a component; each
-    is folded in input order, and ids of new rows get a suffix where taken.
+    is folded in input order, and ids of new rows get a suffix where taken. A source
+    that shares none stays as it is.
     """
     both = known.withColumn("side", F.lit(0)).unionByName(incoming.withColumn("side", F.lit(1)))
-    both = both.withColumns({"urls": urls.source_urls(F.col("homepage_url"), F.col("event_listing_urls")), "norms": F.transform(F.concat(F.array("homepage_url"), "event_listing_urls"), urls.identity), "node": F.concat_ws("/", "side", F.format_string("%012d", F.col("pos")))})
+    listings = F.coalesce("event_listing_urls", F.array().cast("array<string>"))
+    both = both.withColumns({"urls": urls.source_urls(F.col("homepage_url"), F.col("event_listing_urls")), "norms": F.transform(F.concat(F.array("homepage_url"), listings), urls.identity), "node": F.concat_ws("/", "side", F.format_string("%012d", F.col("pos")))})
     edges = both.select("node", F.explode("urls").alias("url"))
     first = edges.groupBy("url").agg(F.min("node").alias("hub"))
     labels = components(edges.join(first, "url").where("node != hub").select(F.col("node").alias("a"), F.col("hub").alias("b")))
-    rows = both.join(labels, "node", "left").withColumn("component", F.coalesce("label", "node")).drop("label", "node")
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema) + ", changes array<string>, is_new boolean"
-    folded = rows.groupBy("component").applyInPandas(lambda g: fold_component(g)[[x.strip().split(" ")[0].strip("`") for x in _names(schema)]], schema)
+    rows = both.join(labels, "node", "left").withColumnRenamed("label", "component").drop("node")
+    alone = rows.where("component IS NULL").withColumns({"changes": F.array().cast("array<string>"), "is_new": F.col("side") == 1})
+    linked = rows.where("component IS NOT NULL").repartition("component").sortWithinPartitions("component", "side", "pos")
+    schema = StructType([StructField(f.name, f.dataType) for f in alone.schema])
+    folded = checkpoint(alone.unionByName(linked.mapInArrow(_folded(schema), schema)))
     return resolve_ids(folded).drop("component", "urls", "norms")
 
 
-def _names(schema: str) -> Iterator[str]:
-    """Column names of a schema string."""
-    depth, at = 0, 0
-    for i, c in enumerate(schema + ","):
-        depth += (c in "<(") - (c in ">)")
-        if c == "," and depth == 0:
-            yield schema[at:i]
-            at = i + 1
-
-
 def resolve_ids(rows: DataFrame) -> DataFrame:
     """Ids of new rows that are taken get ``_new``, ``_new2``, ... in input order.
 
