@@ -85,45 +85,71 @@ def dedup_by_signature(df: DataFrame, group: str = "source_id") -> DataFrame:
     return df.groupBy(group, "t", "date", "v").agg(*[F.min_by(c, F.col("prec")).alias(c) for c in keep], ordered_union("source_urls").alias("source_urls"), F.min("pos").alias("pos")).drop("t", "v")
 
 
-_TITLE = ["date_key", "venue_norm", "title_norm"]
+def _named(df: DataFrame) -> DataFrame:
+    """With ``h``, the name of a row's title, date and venue: no shuffle carries titles to see that they are equal."""
+    named = key_columns(df.select("pos", "title", "date", "venue_name")).select("pos", *KEY)
+    # neither titles nor venues hold a line feed
+    return named.withColumn("h", F.unhex(F.left(F.sha2(F.concat_ws("\n", "title_norm", "venue_norm", "date_key"), 256), F.lit(32))))
 
 
-def _titles(df: DataFrame) -> DataFrame:
-    """Each different title of a date and venue once: its first row and the number of rows."""
-    return key_columns(df).where("title_norm != ''").groupBy(*_TITLE).agg(F.min("pos").alias("rep"), F.count("*").alias("n"))
+def _title_rows(df: DataFrame, percent: int) -> DataFrame:
+    """(pos, h, size, own, parts, marks, seen) of rows with a title: its name, its length, the keys of its grams within its date and venue."""
+    keyed = _named(df).withColumns({"size": F.length("title_norm"), "k": containment_keys(percent)("title_norm")})
+    within = F.struct(F.xxhash64("date_key", "venue_norm").alias("block"), "k")
+    keyed = keyed.select("pos", "h", "size", within.alias("w"))
+    own, parts = F.xxhash64("w.block", "w.k.own"), F.transform("w.k.parts", lambda x: F.xxhash64("w.block", x))
+    return checkpoint(keyed.select("pos", "h", "size", own.alias("own"), parts.alias("parts"), "w.k.marks", "w.k.seen")).where("size > 0")
 
 
-def _title_links(titles: DataFrame, percent: int = 60) -> DataFrame:
-    """(short, long): first rows of different titles of one date and venue, the one in the other and long enough.
+def _title_links(df: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
+    """(short, long): names of different titles of one date and venue, the one in the other and long enough.
 
-    A title is posted under its smallest gram, and looks for titles inside it
-    under those that a part of ``percent`` of it can have as smallest: a few each,
-    so no pair of strangers is built.
+    A title is posted under its smallest grams, and looks for titles inside it
+    under those that a part of ``percent`` of it can have as smallest: a few each. First only names
+    meet there; titles that met another are read again, sent to the keys where they did, and compared there if their
+    marks agree. A title goes once to a key, however many it meets.
     """
-    keyed = checkpoint(titles.withColumn("k", containment_keys(percent)("title_norm")))
-    posted = keyed.select(*_TITLE, "rep", F.col("k.own").alias("key"))
-    probes = keyed.select("date_key", "venue_norm", F.col("title_norm").alias("holder"), F.col("rep").alias("long"), F.explode("k.parts").alias("key"))
-    met = posted.join(probes, ["date_key", "venue_norm", "key"]).where(F.length("title_norm") < F.length("holder"))
-    return met.where(tx.contains_similar(F.col("title_norm"), F.col("holder"), percent / 100)).select(F.col("rep").alias("short"), "long").distinct()
+    titles = rows.groupBy("h").agg(F.min("pos").alias("rep"), *[F.first(c).alias(c) for c in ("size", "own", "parts", "marks", "seen")])
+    # the grams that a side is tested by: those of a posted title must be among those of the other
+    sides = titles.select("h", "rep", "size", F.inline(F.array_append(F.transform("parts", lambda x: F.struct(x.alias("key"), F.lit(False).alias("posted"), F.col("seen").alias("marks"))), F.struct(F.col("own").alias("key"), F.lit(True).alias("posted"), "marks"))))
+    name = F.xxhash64("h")
+    keys = sides.groupBy("key").agg(F.min(name).alias("lo"), F.max(name).alias("hi"), F.max("posted").alias("posted")).where("posted AND lo != hi").select("key")
+    kept = checkpoint(sides.join(keys, "key", "left_semi"))
+    # rows that share a pos are told apart by their names
+    read = _named(df.join(kept.select(F.col("rep").alias("pos")).distinct(), "pos", "left_semi"))
+    texts = checkpoint(read.join(kept.select("h").distinct(), "h", "left_semi").dropDuplicates(["h"]).select("h", *KEY))
+    sent = kept.join(texts, "h").select("key", "posted", "h", "size", "marks", *KEY)
+    short, long = (sent.where(F.col("posted") == p).select("key", *[F.col(c).alias(f"{c}_{s}") for c in ("h", "size", "marks", *KEY)]) for p, s in ((True, "s"), (False, "l")))
+    fits = (F.col("size_s") < F.col("size_l")) & (F.col("size_s") / F.col("size_l") >= percent / 100) & F.forall("marks_s", lambda x: F.array_contains("marks_l", x))
+    same = (F.col("date_key_s") == F.col("date_key_l")) & (F.col("venue_norm_s") == F.col("venue_norm_l"))
+    links = short.join(long, "key").where(fits & same & F.contains("title_norm_l", "title_norm_s"))
+    return checkpoint(links.select(F.col("h_s").alias("short"), F.col("h_l").alias("long")).distinct())
+
+
+def near_pairs(df: DataFrame, percent: int = 60) -> DataFrame:
+    """Pairs (left, right) of ids of one date and venue whose titles contain each other nearly, equal ones among them."""
+    rows = _title_rows(df, percent)
+    links = _title_links(df, rows, percent)
+    one, other = rows.select("h", F.col("pos").alias("a")), rows.select("h", F.col("pos").alias("b"))
+    equal = one.join(other, "h").where("a < b").select("a", "b")
+    held = links.join(one.withColumnRenamed("h", "short"), "short").join(other.withColumnRenamed("h", "long"), "long").where("a != b")
+    return equal.union(held.select(F.least("a", "b"), F.greatest("a", "b"))).toDF("left", "right")
 
 
-def near_pairs(df: DataFrame) -> DataFrame:
-    """Pairs (left, right) of ids of one date and venue whose titles contain each other nearly, equal ones among them."""
-    titles = checkpoint(_titles(df))
-    rows = key_columns(df).select(*_TITLE, "pos").join(titles, _TITLE).select("rep", "pos")
-    other = rows.toDF("rep", "pos_r")
-    equal = rows.join(other, "rep").where("pos < pos_r").select(F.col("pos").alias("left"), F.col("pos_r").alias("right"))
-    links = _title_links(titles).join(rows.toDF("short", "a"), "short").join(other.toDF("long", "b"), "long")
-    return equal.union(links.select(F.least("a", "b"), F.greatest("a", "b")))
-
-
-def flag_near_dups(df: DataFrame) -> DataFrame:
-    """Both rows of such a pair drop to low confidence; no pair of equal titles is built."""
-    titles = checkpoint(_titles(df))
-    links = _title_links(titles)
-    linked = links.select(F.col("short").alias("rep")).union(links.select("long")).distinct().withColumn("linked", F.lit(True))
-    near = titles.join(linked, "rep", "left").where("n > 1 OR linked").select(*_TITLE, F.lit(True).alias("near"))
-    return key_columns(df).join(near, _TITLE, "left").withColumn("confidence", F.when(F.col("near"), "low").otherwise(F.col("confidence"))).drop("near", *_TITLE)
+def flag_near_dups(df: DataFrame, titles: DataFrame | None = None, percent: int = 60) -> DataFrame:
+    """Both rows of such a pair drop to low confidence; no pair of equal titles is built.
+
+    ``titles`` are the rows that may be paired, where these are had for less than all of ``df``.
+    """
+    titles = df if titles is None else titles
+    rows = _title_rows(titles, percent)
+    links = _title_links(titles, rows, percent)
+    # a row is one of a pair if its own title, or one linked to it, has a row of another pos
+    ends = rows.groupBy("h").agg(F.min("pos").alias("lo"), F.max("pos").alias("hi"))
+    both = links.toDF("h", "to").union(links.select("long", "short"))
+    near = both.join(ends.withColumnRenamed("h", "to"), "to").select("h", "lo", "hi").union(ends).groupBy("h").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    flagged = rows.select("h", "pos").join(near, "h").where("lo != pos OR hi != pos").select("pos", F.lit(True).alias("near")).distinct()
+    return df.join(flagged, "pos", "left").withColumn("confidence", F.when(F.col("near"), "low").otherwise(F.col("confidence"))).select(*df.columns)
 
 
 def merge_log(df: DataFrame) -> DataFrame:

@@ -234,7 +234,8 @@ def merge_log_by_kept(t):
 
 
 def _blocked_docs(t) -> DataFrame:
-    return _doc_events(t).join(t("documents").select(F.col("doc_id").alias("pos"), "lang", "source"), "pos").withColumns({"date": F.col("lang"), "venue_name": F.col("source")})
+    """Documents to be paired: text as title, language as date, source as venue."""
+    return t("documents").where("lang IS NOT NULL AND source IS NOT NULL").select(F.col("text").alias("title"), F.col("lang").alias("date"), F.col("source").alias("venue_name"), F.col("doc_id").alias("pos"))
 
 
 _SHORT = f"SELECT doc_id AS pos, lang, {_norm('source')} AS v, {_norm('text')} AS k FROM documents"
@@ -250,7 +251,7 @@ def keyed_pairs(t):
 
 @query(f"SELECT pos AS doc_id, CASE WHEN pos IN (SELECT p FROM ({_PAIRS}) UNION SELECT q FROM ({_PAIRS})) THEN 1 ELSE r END AS rank FROM ({_EVENTS})")
 def doc_near_dup_flag(t):
-    return dedup.flag_near_dups(_blocked_docs(t)).select(F.col("pos").alias("doc_id"), rank.event_confidence(F.coalesce("confidence", F.lit(""))).alias("rank"))
+    return dedup.flag_near_dups(_doc_events(t), _blocked_docs(t)).select(F.col("pos").alias("doc_id"), rank.event_confidence(F.coalesce("confidence", F.lit(""))).alias("rank"))
 
 
 @query("SELECT source, count(*) AS n, min(pos) AS first_id FROM (SELECT source, min(doc_id) AS pos FROM documents GROUP BY source, regexp_replace(lower(trim(text, ' ' || chr(9) || chr(10) || chr(13))), '\\s+', ' ', 'g')) GROUP BY source")
