@@ -3,6 +3,8 @@
 import random
 
 import numpy as np
+import pyarrow as pa
+
 from almanac.functions import grams
 from almanac.operators import dedup
 
@@ -45,3 +47,8 @@ def test_strangers_with_a_common_passage_seldom_meet():
     met = sum(a is not b and a[0] in b[1] and set(a[2]) <= set(b[3]) for a in keys for b in keys)
     one = sum(a is not b and bool(set(a[2][:1]) & set(b[3])) for a in keys for b in keys)
     assert met < one / 4
+
+
+def test_keys_are_made_in_arrow():
+    out = grams.containment_keys(60).func(pa.array(["some long night", None, "", "x"]))
+    assert isinstance(out, pa.StructArray) and out.field("own").null_count == 2 and len(out) == 4
