@@ -88,8 +88,9 @@ def dedup_by_signature(df: DataFrame, group: str = "source_id") -> DataFrame:
 def _named(df: DataFrame) -> DataFrame:
     """With ``h``, the name of a row's title, date and venue: no shuffle carries titles to see that they are equal."""
     named = key_columns(df.select("pos", "title", "date", "venue_name")).select("pos", *KEY)
-    # neither titles nor venues hold a line feed
-    return named.withColumn("h", F.unhex(F.left(F.sha2(F.concat_ws("\n", "title_norm", "venue_norm", "date_key"), 256), F.lit(32))))
+    # neither titles nor venues hold a line feed; a name that cannot be null is not made for a test of that before a join
+    h = F.unhex(F.left(F.sha2(F.concat_ws("\n", "title_norm", "venue_norm", "date_key"), 256), F.lit(32)))
+    return named.withColumn("h", F.coalesce(h, F.lit(bytearray())))
 
 
 def _title_rows(df: DataFrame, percent: int) -> DataFrame:
